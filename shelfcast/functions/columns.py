@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A series is one item in one store; `id` is only its label. Partitioning by these two
@@ -17,6 +17,17 @@ def series_window():
     return Window.partitionBy(*SERIES).orderBy("date")
 
 
+def by_series(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Hash rows by series. A given number of partitions is kept by adaptive execution, which would
+    otherwise merge the small list of series before its days are generated."""
+    return df.repartition(partitions, *SERIES) if partitions else df.repartition(*SERIES)
+
+
+def panel_partitions(n_series: int, n_days: int, at_least: int, rows_per_task: int = 2_000_000) -> int:
+    """Partitions for a panel, sized by the rows it will have rather than by its sparse inputs."""
+    return max(at_least, -(-n_series * n_days // rows_per_task))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Double division that gives NULL instead of raising on a zero denominator."""
     return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import SERIES, flag
+from shelfcast.functions.columns import SERIES, by_series, flag
 
 SERIES_COLUMNS = ("id", "item_id", "dept_id", "cat_id", "store_id", "state_id")
 CALENDAR_COLUMNS = (
@@ -87,18 +87,20 @@ def series_day_grid(series: DataFrame, start: date, end: date, from_first_sale:
     return series.withColumn("date", F.explode(days))
 
 
-def dense_panel(series: DataFrame, sales: DataFrame, start: date, end: date, known_until: date) -> DataFrame:
+def dense_panel(
+    series: DataFrame, sales: DataFrame, start: date, end: date, known_until: date, partitions: int | None = None
+) -> DataFrame:
     """Series x day panel: observed sales, 0 on quiet days up to `known_until`, NULL after it.
 
     `series` needs the series columns and `first_sale_date`. Both inputs are hashed by series before the
     days are generated: only the sparse sales and the series list cross the network, never the panel,
-    and every later window by series finds its rows in place. Rows per series are bounded by the calendar.
+    and every later window by series finds its rows in place. Rows per series are bounded by the calendar;
+    `partitions` should be sized by the rows of the panel.
     """
-    grid = series_day_grid(series.repartition(*SERIES), start, end, from_first_sale=True)
-    observed = (
-        sales.filter(F.col("date").between(F.lit(start), F.lit(known_until)))
-        .select(*SERIES, "date", "sales")
-        .repartition(*SERIES)
+    grid = series_day_grid(by_series(series, partitions), start, end, from_first_sale=True)
+    observed = by_series(
+        sales.filter(F.col("date").between(F.lit(start), F.lit(known_until))).select(*SERIES, "date", "sales"),
+        partitions,
     )
     return (
         grid.join(observed, [*SERIES, "date"], "left")

@@ -13,10 +13,14 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import SERIES, lookup
+from shelfcast.functions.columns import SERIES, by_series, lookup, panel_partitions
+from shelfcast.operators import baselines as base_ops
 from shelfcast.operators import calendar as cal
+from shelfcast.operators import holidays as holiday_ops
+from shelfcast.operators import mart as mart_ops
 from shelfcast.operators import prices as price_ops
 from shelfcast.operators import sales as sales_ops
+from shelfcast.operators import weather as weather_ops
 from shelfcast.sources.external import WEATHER_MEASURES, parse_holidays
 from shelfcast.sources.storage import staged
 
@@ -120,7 +124,7 @@ class RetailTables:
 
     def actuals(self) -> DataFrame:
         """The hidden days, dense, for scoring forecasts made at `as_of`."""
-        return self.full_panel().filter(F.col("date") > F.lit(self.as_of))
+        return self.facts_after(self.as_of)
 
     # -- calendar
 
@@ -177,27 +181,35 @@ class RetailTables:
             "series",
         )
 
+    @cached_property
+    def partitions(self) -> int:
+        n_days = (self.last_day - self.panel_start).days + 1
+        return panel_partitions(self.series.count(), n_days, self.spark.sparkContext.defaultParallelism)
+
     @cached_property
     def panel(self) -> DataFrame:
-        return sales_ops.dense_panel(
-            self.series, self.facts, self.panel_start, self.last_day, self.as_of
-        )
+        return self.panel_between(self.panel_start, self.last_day, self.as_of)
 
     def full_panel(self) -> DataFrame:
         """The panel with the hidden days revealed."""
-        return sales_ops.dense_panel(
-            self.series, self.facts, self.panel_start, self.last_day, self.last_day
-        )
+        return self.panel_between(self.panel_start, self.last_day, self.last_day)
+
+    def panel_between(self, start: date, end: date, known_until: date) -> DataFrame:
+        return sales_ops.dense_panel(self.series, self.facts, start, end, known_until, self.partitions)
 
     @cached_property
     def raw_prices(self) -> DataFrame:
-        """Average selling price by week; no row where nothing was sold."""
+        """Average selling price by week, rounded half up in whole cents; no row where nothing was sold."""
         week = F.lit(FIRST_WEEK) + F.floor(F.datediff("date", F.lit(self.first_day)) / 7).cast("int")
         return (
-            self.facts.select(*SERIES, week.alias("wm_yr_wk"), "sales", "amount")
-            .repartition(*SERIES)
+            by_series(self.facts.select(*SERIES, week.alias("wm_yr_wk"), "sales", "amount"), self.partitions)
             .groupBy(*SERIES, "wm_yr_wk")
-            .agg(F.round(F.sum("amount").cast("double") / F.sum("sales"), 2).alias("sell_price"))
+            .agg((F.sum("amount") * 100).cast("long").alias("cents"), F.sum("sales").alias("units"))
+            .filter(F.col("units") > 0)
+            .select(
+                *SERIES, "wm_yr_wk",
+                (F.expr("(2 * cents + units) div (2 * units)") / F.lit(100.0)).alias("sell_price"),
+            )
         )
 
     @cached_property
@@ -213,6 +225,36 @@ class RetailTables:
             self.panel, self.days, cal.snap_by_state(self.calendar), self.prices
         )
 
+    def raw_wide(self) -> DataFrame:
+        """One row per series, one column per calendar day (d_1..d_N); empty where nothing was sold."""
+        n_days = (self.last_day - self.first_day).days + 1
+        index = F.concat(F.lit("d_"), cal.date_to_day_index(self.first_day, F.col("date")))
+        return (
+            self.facts.withColumn("d", index)
+            .groupBy(*sales_ops.SERIES_COLUMNS)
+            .pivot("d", [f"d_{i}" for i in range(1, n_days + 1)])
+            .agg(F.max("sales"))
+        )
+
+    # -- forecasts of two versions
+
+    def history(self, origins: list[date]) -> DataFrame:
+        """Known days that any origin looks back to."""
+        start = max(self.first_day, min(origins) - timedelta(days=base_ops.LOOKBACK_DAYS))
+        return self.panel_between(start, max(origins), max(origins))
+
+    def forecasts(self, origins: list[date], baseline: str = "dow_mean") -> DataFrame:
+        """Forecasts made at each origin, in the shape of the published table."""
+        preds = base_ops.BASELINES[baseline](self.history(origins), origins, self.horizon)
+        return preds.join(self.series.select("id", "item_id", "store_id"), "id").select(
+            "id", "item_id", "store_id", "date", "horizon", "prediction",
+            F.lit(f"{baseline}-1").alias("model_version"), F.lit(f"run-{baseline}").alias("run_id"), "as_of",
+        )
+
+    def facts_after(self, origin: date) -> DataFrame:
+        """Dense facts of all days after an origin, also the hidden ones."""
+        return self.panel_between(origin + timedelta(days=1), self.last_day, self.last_day)
+
     # -- external sources
 
     def _order_days(self) -> DataFrame:
@@ -231,15 +273,18 @@ class RetailTables:
     def weather(self) -> DataFrame:
         """Daily weather by state, read off the orders of the day: archive up to `as_of`, 16 days of
         forecast, climatology after them."""
-        scaled = {
-            "temperature_2m_max": F.max("total").cast("double") / 10000 - 5,
-            "temperature_2m_min": F.min("total").cast("double") / 10000 - 5,
-            "temperature_2m_mean": F.sum("total").cast("double") / F.count("total") / 10000 - 5,
-            "apparent_temperature_max": F.max("total").cast("double") / 10000 - 7,
-            "precipitation_sum": F.min("total").cast("double") / 1000,
+        def scaled(total: Column, unit: float) -> Column:
+            return total.cast("double") / F.lit(unit)
+
+        measures = {
+            "temperature_2m_max": scaled(F.max("total"), 9973.0) - 5,
+            "temperature_2m_min": scaled(F.min("total"), 9973.0) - 5,
+            "temperature_2m_mean": scaled(F.sum("total"), 9973.0) / F.count("total") - 5,
+            "apparent_temperature_max": scaled(F.max("total"), 9973.0) - 7,
+            "precipitation_sum": scaled(F.min("total"), 997.0),
             "snowfall_sum": F.when(F.min("total") < 10000, F.lit(1.0)).otherwise(F.lit(0.0)),
             "windspeed_10m_max": F.count("total").cast("double"),
-            "shortwave_radiation_sum": F.sum("total").cast("double") / 100000,
+            "shortwave_radiation_sum": scaled(F.sum("total"), 99991.0),
         }
         ahead = F.datediff("date", F.lit(self.as_of))
         source = (
@@ -249,7 +294,7 @@ class RetailTables:
             self._order_days()
             .filter(F.col("date") <= F.lit(self.last_day))
             .groupBy("state_id", "date")
-            .agg(*[expr.alias(name) for name, expr in scaled.items()])
+            .agg(*[expr.alias(name) for name, expr in measures.items()])
             .withColumn("source", source)
         )
 
@@ -262,9 +307,9 @@ class RetailTables:
             .select(F.col("event_type").alias("state_id"), F.to_date("ts").alias("date"), value.alias("v"))
             .groupBy("state_id", "date")
             .agg(
-                F.max("v").cast("double").alias("temperature_2m_max"),
-                F.min("v").cast("double").alias("temperature_2m_min"),
-                (F.sum("v").cast("double") / F.count("v")).alias("temperature_2m_mean"),
+                (F.max("v").cast("double") / F.lit(9.973)).alias("temperature_2m_max"),
+                (F.min("v").cast("double") / F.lit(9.973)).alias("temperature_2m_min"),
+                (F.sum("v").cast("double") / F.lit(9.973) / F.count("v")).alias("temperature_2m_mean"),
                 F.min("v").cast("double").alias("precipitation_sum"),
                 F.lit(0.0).alias("snowfall_sum"),
                 F.count("v").cast("double").alias("windspeed_10m_max"),
@@ -333,6 +378,22 @@ class RetailTables:
     def holidays(self) -> DataFrame:
         return parse_holidays(self.holiday_payloads(), STATES, COUNTRY)
 
+    def weather_features(self) -> DataFrame:
+        return weather_ops.weather_features(self.weather)
+
+    def holiday_features(self) -> DataFrame:
+        return holiday_ops.holiday_features(self.holidays, self.series, self.first_day, self.last_day)
+
+    # -- mart
+
+    def mart(self, mode: str = "train", external: bool = True, **options) -> DataFrame:
+        return mart_ops.build_mart(
+            self.panel, self.days, cal.snap_by_state(self.calendar), self.prices,
+            self.weather_features() if external else None,
+            self.holiday_features() if external else None,
+            self.as_of, mode, self.horizon, stage=staged, **options,
+        )
+
 
 def with_hierarchy(df: DataFrame) -> DataFrame:
     """Series label, department and category from item and store."""
