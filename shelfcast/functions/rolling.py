@@ -15,46 +15,44 @@ from pyspark.sql import functions as F
 
 
 class MovingFrames:
-    """Frames of `width` rows that end `shift` rows before the current one.
+    """Frames of `widths` rows that end `shift` rows before the current one.
 
-    `with_running` adds the running sums once; the expressions below then read any width from them.
+    `with_edges` adds the running sums at both ends of every frame, one structure per offset; the
+    expressions below read them. `kept` drops the helpers again.
     """
 
-    def __init__(self, value: str, window: WindowSpec, shift: int, prefix: str = "_run"):
-        self.value, self.window, self.shift, self.prefix = value, window, shift, prefix
+    def __init__(self, value: str, window: WindowSpec, shift: int, widths: Iterable[int]):
+        self.value, self.window, self.shift = value, window, shift
+        self.offsets = [shift, *(shift + w for w in widths)]
 
-    def _name(self, part: str) -> str:
-        return f"{self.prefix}_{self.value}_{part}"
-
-    @property
-    def helper_columns(self) -> list[str]:
-        return [self._name(part) for part in ("sum", "squares", "known", "rows", "zeros", "sold")]
-
-    def with_running(self, df: DataFrame) -> DataFrame:
+    def with_edges(self, df: DataFrame) -> DataFrame:
         upto = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         value = F.col(self.value).cast("long")
         running = {
-            "sum": F.sum(value),
+            "total": F.sum(value),
             "squares": F.sum(value * value),
             "known": F.count(value),
             "rows": F.count(F.lit(1)),
             "zeros": F.count(F.when(value == 0, 1)),
             "sold": F.count(F.when(value > 0, 1)),
         }
-        return df.withColumns({self._name(part): agg.over(upto) for part, agg in running.items()})
+        summed = df.withColumns({f"_{part}": agg.over(upto) for part, agg in running.items()})
+        one = summed.withColumn("_run", F.struct(*[F.col(f"_{p}").alias(p) for p in running]))
+        return one.drop(*[f"_{p}" for p in running]).withColumns(
+            {f"_at_{n}": F.lag("_run", n).over(self.window) for n in self.offsets}
+        )
 
     def _within(self, part: str, width: int) -> Column:
-        end = F.lag(self._name(part), self.shift).over(self.window)
-        before = F.lag(self._name(part), self.shift + width).over(self.window)
+        end, before = F.col(f"_at_{self.shift}.{part}"), F.col(f"_at_{self.shift + width}.{part}")
         return F.coalesce(end, F.lit(0)) - F.coalesce(before, F.lit(0))
 
     def mean(self, width: int) -> Column:
-        return self._within("sum", width).cast("double") / F.nullif(self._within("known", width), F.lit(0))
+        return self._within("total", width).cast("double") / F.nullif(self._within("known", width), F.lit(0))
 
     def std(self, width: int) -> Column:
         """Population standard deviation; the whole-number form avoids cancellation."""
         n = F.nullif(self._within("known", width), F.lit(0)).cast("double")
-        total = self._within("sum", width).cast("double")
+        total = self._within("total", width).cast("double")
         squares = self._within("squares", width).cast("double")
         return F.sqrt(F.greatest(n * squares - total * total, F.lit(0.0))) / n
 
@@ -73,7 +71,6 @@ class MovingFrames:
 
 def mean_of_known(columns: Iterable[Column]) -> Column:
     """Mean over the columns that are not NULL; NULL when none is known."""
-    columns = list(columns)
-    total = sum((F.coalesce(c, F.lit(0)) for c in columns), F.lit(0))
-    known = sum((c.isNotNull().cast("int") for c in columns), F.lit(0))
-    return total.cast("double") / F.nullif(known, F.lit(0))
+    known = F.filter(F.array(*columns), lambda v: v.isNotNull())
+    total = F.aggregate(known, F.lit(0).cast("long"), lambda acc, v: acc + v)
+    return total.cast("double") / F.nullif(F.size(known), F.lit(0))

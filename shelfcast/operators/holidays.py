@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import distances, flag
@@ -60,15 +60,18 @@ def holiday_features(holidays: DataFrame, states: DataFrame, start: date, end: d
 
 
 def with_long_weekend(features: DataFrame) -> DataFrame:
-    """Flag days of a weekend that a Friday or Monday holiday makes longer."""
-    weekday = F.weekday("date")  # 0 = Monday
-    before, since = F.col("days_to_next_holiday"), F.col("days_since_prev_holiday")
-    # Friday, Saturday, Sunday, Monday as the distance from the Friday and to the Monday
-    after_friday, until_monday = F.pmod(weekday - 4, F.lit(7)), F.pmod(7 - weekday, F.lit(7))
-    in_span = after_friday <= 3
-    return features.withColumn(
-        "is_long_weekend", flag(in_span & ((since == after_friday) | (before == until_monday)))
+    """Flag the three days of a weekend that a Friday or Monday holiday makes longer."""
+    days = Window.partitionBy("state_id").orderBy("date")
+    weekday, holiday = F.weekday("date"), F.col("is_holiday")  # 0 = Monday
+    friday = (
+        F.when(weekday == 4, holiday).when(weekday == 5, F.lag(holiday, 1).over(days))
+        .when(weekday == 6, F.lag(holiday, 2).over(days))
+    )
+    monday = (
+        F.when(weekday == 0, holiday).when(weekday == 6, F.lead(holiday, 1).over(days))
+        .when(weekday == 5, F.lead(holiday, 2).over(days))
     )
+    return features.withColumn("is_long_weekend", flag((friday == 1) | (monday == 1)))
 
 
 def compare_events(holidays: DataFrame, calendar: DataFrame) -> DataFrame:

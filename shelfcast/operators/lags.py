@@ -56,22 +56,21 @@ ROLLING_COLUMNS = (
 def add_rolling(panel: DataFrame, min_lag: int = HORIZON) -> DataFrame:
     """Statistics of the 7, 28 and 180 rows that end `min_lag` rows back, in the window of the lags."""
     window = series_window()
-    frames = MovingFrames("sales", window, min_lag)
+    frames = MovingFrames("sales", window, min_lag, (7, 28, 180))
     weeks_back = -(-min_lag // 7)
-    same_weekday = [F.lag("sales", 7 * (weeks_back + k)).over(window) for k in range(8)]
-    kept = panel.columns
+    same_weekday = {f"_week_{k}": F.lag("sales", 7 * (weeks_back + k)).over(window) for k in range(8)}
+    maxima = {f"roll_max_{n}": frames.max(n) for n in (7, 28)}
     return (
-        frames.with_running(panel)
+        frames.with_edges(panel.withColumns({**same_weekday, **maxima}))
         .withColumns({
             **{f"roll_mean_{n}": frames.mean(n) for n in (7, 28, 180)},
             **{f"roll_std_{n}": frames.std(n) for n in (7, 28, 180)},
-            **{f"roll_max_{n}": frames.max(n) for n in (7, 28)},
             **{f"zero_ratio_{n}": frames.zero_share(n) for n in (28, 180)},
             "nonzero_days_28": frames.selling_rows(28),
-            "dow_mean_8w": mean_of_known(same_weekday),
+            "dow_mean_8w": mean_of_known([F.col(c).cast("long") for c in same_weekday]),
         })
         .withColumn("trend_28_over_180", ratio(F.col("roll_mean_28"), F.col("roll_mean_180")))
-        .select(*kept, *ROLLING_COLUMNS)
+        .select(*panel.columns, *ROLLING_COLUMNS)
     )
 
 
@@ -89,8 +88,8 @@ def group_rolling(panel: DataFrame, min_lag: int = HORIZON) -> DataFrame:
 
     def rolled(totals: DataFrame, by: list[str], name: str) -> DataFrame:
         window = Window.partitionBy(*by).orderBy("date")
-        frames = MovingFrames("sales", window, min_lag)
-        return frames.with_running(totals).withColumn(name, frames.mean(28)).select(*by, "date", name)
+        frames = MovingFrames("sales", window, min_lag, (28,))
+        return frames.with_edges(totals).withColumn(name, frames.mean(28)).select(*by, "date", name)
 
     departments = daily_totals(panel, ["store_id", "cat_id", "dept_id"])
     categories = departments.groupBy("store_id", "cat_id", "date").agg(F.sum("sales").alias("sales"))

@@ -58,40 +58,40 @@ def build_mart(
     stores: list[str] | None = None,
     min_lag: int = lag_ops.HORIZON,
     *,
-    stage,
+    stage_all,
 ) -> DataFrame:
     """Feature rows up to `as_of` (train) or `as_of + horizon` (inference).
 
     `panel` is the dense panel hashed by series. Windows run on its narrow rows; the wide day, price, weather
     and holiday attributes are joined afterwards and never sorted or shuffled. Lags and rolling statistics are
     columns of the same pass, so no self join is needed. `weather` and `holidays` are feature tables by
-    (state, date); None leaves their columns NULL. `stage` writes the three side tables to the shared folder
+    (state, date); None leaves their columns NULL. `stage_all` writes the three side tables to the shared folder
     first: with their true size known, Spark broadcasts them if they are small and otherwise hashes both
     sides by all join keys, never the panel by its few states.
     """
     end = F.lit(last_day(as_of, mode, horizon))
     known = F.when(F.col("date") <= F.lit(as_of), F.col("sales"))
     rows = panel.filter(F.col("date") <= end).withColumn("sales", known)
-    groups = stage(lag_ops.group_rolling(rows, min_lag), "group_rolling")
+    spark = panel.sparkSession
+    if weather is None:
+        weather = weather_ops.weather_features(empty_weather(spark))
+    if holidays is None:
+        holidays = _empty_holiday_features(spark)
+    side = stage_all({
+        "groups": lag_ops.group_rolling(rows, min_lag).select("store_id", "dept_id", "date", *GROUP_ROLLING),
+        "weather": weather.select("state_id", "date", *weather_ops.FEATURES),
+        "holidays": holidays.select("state_id", "date", *holiday_ops.FEATURES),
+    })
     if stores:
         rows = rows.filter(F.col("store_id").isin(*stores))
     features = lag_ops.add_rolling(lag_ops.add_lags(rows, min_lag), min_lag)
     # a series never sold has no first sale and drops out here
     features = features.filter(F.col("days_since_first_sale") >= 0)
     features = sales_ops.sales_enriched(features, days, snap, prices)
-    features = features.join(
-        groups.select("store_id", "dept_id", "date", *GROUP_ROLLING), ["store_id", "dept_id", "date"], "left"
-    )
-    spark = panel.sparkSession
-    if weather is None:
-        weather = weather_ops.weather_features(empty_weather(spark))
-    if holidays is None:
-        holidays = _empty_holiday_features(spark)
-    weather = stage(weather.select("state_id", "date", *weather_ops.FEATURES), "weather")
-    holidays = stage(holidays.select("state_id", "date", *holiday_ops.FEATURES), "holidays")
     return (
-        features.join(weather, ["state_id", "date"], "left")
-        .join(holidays, ["state_id", "date"], "left")
+        features.join(side["groups"], ["store_id", "dept_id", "date"], "left")
+        .join(side["weather"], ["state_id", "date"], "left")
+        .join(side["holidays"], ["state_id", "date"], "left")
         .select(*mart_columns(min_lag))
     )
 

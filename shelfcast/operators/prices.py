@@ -54,20 +54,21 @@ def peer_means(prices: DataFrame, peer: str) -> DataFrame:
     return prices.groupBy("wm_yr_wk", peer).agg(F.avg("sell_price").alias(f"_{peer}_mean"))
 
 
-def with_relative_prices(prices: DataFrame, items: DataFrame, stage) -> DataFrame:
+def with_relative_prices(prices: DataFrame, items: DataFrame, stage_all) -> DataFrame:
     """Price against the mean of its department, category and of the same item elsewhere, same week.
 
-    Adds three columns to any weekly price table. `stage` writes a table to the shared folder and reads it
-    back. The peer means are a small fraction of the prices; once written, Spark sees their true size and
+    Adds three columns to any weekly price table. `stage_all` writes tables to the shared folder and reads
+    them back. The peer means are a small fraction of the prices; once written, Spark sees their true size and
     broadcasts them below its threshold, and falls back to a sort-merge join above it. A window over a week
     and category would instead put an unbounded group into one task.
     """
     attributes = items.select("item_id", "dept_id", "cat_id").distinct()
     keyed = prices.join(attributes, "item_id")
+    peers = ("dept_id", "cat_id", "item_id")
+    means = stage_all({p: peer_means(keyed, p) for p in peers})
     result = keyed
-    for peer in ("dept_id", "cat_id", "item_id"):
-        means = stage(peer_means(keyed, peer), f"mean_price_by_{peer}")
-        result = result.join(means, ["wm_yr_wk", peer]).withColumn(
+    for peer in peers:
+        result = result.join(means[peer], ["wm_yr_wk", peer]).withColumn(
             f"price_rel_{peer.removesuffix('_id')}_mean", ratio(F.col("sell_price"), F.col(f"_{peer}_mean"))
         )
-    return result.drop("dept_id", "cat_id", *[f"_{p}_mean" for p in ("dept_id", "cat_id", "item_id")])
+    return result.drop("dept_id", "cat_id", *[f"_{p}_mean" for p in peers])

@@ -220,7 +220,7 @@ def mart_without_external(r):
 
 @query
 def mart_store_filter(r):
-    return r.mart("train", stores=["NATION_1", "NATION_2"]).select(*mart.KEYS, "sales", "dept_roll_mean_28")
+    return r.mart("train", stores=_first_stores(r, 2)).select(*mart.KEYS, "sales", "dept_roll_mean_28")
 
 
 @query
@@ -234,7 +234,7 @@ def mart_price_extras(r):
 @query
 def load_mart_window(r):
     start = r.as_of - timedelta(days=27)
-    return tables.load_mart(r.mart("train"), start, r.as_of, ["NATION_1"]).select(
+    return tables.load_mart(r.mart("train"), start, r.as_of, _first_stores(r, 1)).select(
         "id", "date", "sales", "sales_lag_28", "roll_mean_28", "sell_price", "snap"
     )
 
@@ -689,8 +689,12 @@ def calendar_gaps_by_series(r):
 # ---------------------------------------------------------------- read side
 
 
+def _first_stores(r, n: int) -> list[str]:
+    return [row.store_id for row in r.series.select("store_id").distinct().orderBy("store_id").limit(n).collect()]
+
+
 def _first_store(r) -> str:
-    return r.series.agg(F.min("store_id")).first()[0]
+    return _first_stores(r, 1)[0]
 
 
 def _first_series(r) -> str:

@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,6 +53,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage independent tables at the same time; each alone would leave executors idle at its end."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+        running = {
+            name: pool.submit(inheritable_thread_target(df.sparkSession)(staged), df, name)
+            for name, df in tables.items()
+        }
+        return {name: job.result() for name, job in running.items()}
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
     """Typed CSV scan. Without a schema the types are inferred from every row, not from a sample."""
     reader = spark.read.option("header", True)

@@ -22,7 +22,7 @@ from shelfcast.operators import prices as price_ops
 from shelfcast.operators import sales as sales_ops
 from shelfcast.operators import weather as weather_ops
 from shelfcast.sources.external import WEATHER_MEASURES, parse_holidays
-from shelfcast.sources.storage import staged
+from shelfcast.sources.storage import staged, staged_all
 
 # Fixed values of the test mapping.
 DEPARTMENT_OF_ITEM = {
@@ -75,21 +75,21 @@ class RetailTables:
 
     @cached_property
     def facts(self) -> DataFrame:
-        """Quantity and revenue per series and selling day (sparse), the only pass over the line items.
+        """Quantity and revenue in cents per series and selling day (sparse), the only pass over the line items.
 
         No broadcast is forced: part and supplier grow with the data, so Spark decides by size and
         splits hot keys of a sort-merge join at run time. Sums are combined map-side before the shuffle.
         """
         lines = self.table("lineitem").select(
             "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("date"), "l_quantity",
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+            F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
         )
         items = self.table("part").select("p_partkey", F.col("p_type").alias("item_id"))
         daily = (
             lines.join(items, F.col("l_partkey") == F.col("p_partkey"))
             .join(self._stores(), F.col("l_suppkey") == F.col("s_suppkey"))
             .groupBy("item_id", "store_id", "state_id", "date")
-            .agg(F.sum("l_quantity").cast("long").alias("sales"), F.sum("amount").alias("amount"))
+            .agg(F.sum("l_quantity").cast("long").alias("sales"), F.sum("cents").alias("cents"))
         )
         return staged(with_hierarchy(daily), "facts")
 
@@ -202,9 +202,9 @@ class RetailTables:
         """Average selling price by week, rounded half up in whole cents; no row where nothing was sold."""
         week = F.lit(FIRST_WEEK) + F.floor(F.datediff("date", F.lit(self.first_day)) / 7).cast("int")
         return (
-            by_series(self.facts.select(*SERIES, week.alias("wm_yr_wk"), "sales", "amount"), self.partitions)
+            by_series(self.facts.select(*SERIES, week.alias("wm_yr_wk"), "sales", "cents"), self.partitions)
             .groupBy(*SERIES, "wm_yr_wk")
-            .agg((F.sum("amount") * 100).cast("long").alias("cents"), F.sum("sales").alias("units"))
+            .agg(F.sum("cents").alias("cents"), F.sum("sales").alias("units"))
             .filter(F.col("units") > 0)
             .select(
                 *SERIES, "wm_yr_wk",
@@ -216,7 +216,7 @@ class RetailTables:
     def prices(self) -> DataFrame:
         """Weekly price features, own history and peers."""
         return price_ops.with_relative_prices(
-            price_ops.stage_prices(self.raw_prices), self.series, staged
+            price_ops.stage_prices(self.raw_prices), self.series, staged_all
         )
 
     @cached_property
@@ -271,8 +271,11 @@ class RetailTables:
 
     @cached_property
     def weather(self) -> DataFrame:
-        """Daily weather by state, read off the orders of the day: archive up to `as_of`, 16 days of
-        forecast, climatology after them."""
+        """Daily weather by state, read off the orders of the day, moved so that the last order falls on the
+        last panel day: archive up to `as_of`, 16 days of forecast, climatology after them."""
+        last_order = self.table("orders").agg(F.to_date(F.max("o_orderdate"))).first()[0]
+        shift = (self.last_day - last_order).days
+
         def scaled(total: Column, unit: float) -> Column:
             return total.cast("double") / F.lit(unit)
 
@@ -292,7 +295,7 @@ class RetailTables:
         )
         return (
             self._order_days()
-            .filter(F.col("date") <= F.lit(self.last_day))
+            .withColumn("date", F.date_add("date", shift))
             .groupBy("state_id", "date")
             .agg(*[expr.alias(name) for name, expr in measures.items()])
             .withColumn("source", source)
@@ -391,7 +394,7 @@ class RetailTables:
             self.panel, self.days, cal.snap_by_state(self.calendar), self.prices,
             self.weather_features() if external else None,
             self.holiday_features() if external else None,
-            self.as_of, mode, self.horizon, stage=staged, **options,
+            self.as_of, mode, self.horizon, stage_all=staged_all, **options,
         )
 
 
