@@ -58,20 +58,27 @@ def _numeric_sql(numeric: Sequence[str], with_missing: Sequence[str]) -> str:
 
 def preparation(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], kind: str) -> Pipeline:
     """Unfitted stages from mart columns to one vector. Columns constant in the training rows are left out."""
-    stats = train.agg(
-        *[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in numeric],
-        *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in numeric],
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in numeric],
-        *[F.approx_count_distinct(c).alias(f"n_{c}") for c in categorical],
-    ).first()
-    used = [c for c in numeric if stats[f"lo_{c}"] is not None and stats[f"lo_{c}"] != stats[f"hi_{c}"]]
-    # columns that are missing on the same rows need one flag only
-    flags, seen = [], set()
-    for c in used:
-        if stats[f"null_{c}"] and stats[f"null_{c}"] not in seen:
-            seen.add(stats[f"null_{c}"])
+    # one small aggregation over (position, value) rows, where an aggregate per column would not compile
+    value = F.col("value")
+    stats = {
+        row.pos: row
+        for row in train.select(
+            F.posexplode(F.array(*[F.col(c).cast("double") for c in numeric])).alias("pos", "value")
+        ).groupBy("pos").agg(
+            F.min(value).alias("lo"), F.max(value).alias("hi"), F.count_if(value.isNull()).alias("nulls")
+        ).collect()
+    }
+    used, flags, seen = [], [], set()
+    for pos, c in enumerate(numeric):
+        if pos not in stats or stats[pos].lo is None or stats[pos].lo == stats[pos].hi:
+            continue
+        used.append(c)
+        # columns that are missing on the same rows need one flag only
+        if stats[pos].nulls and stats[pos].nulls not in seen:
+            seen.add(stats[pos].nulls)
             flags.append(c)
-    cats = [c for c in categorical if stats[f"n_{c}"] > 1]
+    distinct = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first() if categorical else {}
+    cats = [c for c in categorical if distinct[c] > 1]
     inputs = [f"{c}_in" for c in used] + [f"{c}_missing" for c in flags]
     stages = [SQLTransformer(statement=_numeric_sql(used, flags))]
     if cats:

@@ -165,24 +165,34 @@ def data_drift(
         *[F.percentile_approx(F.col(c).cast("double"), grid, 1000).alias(c) for c in numeric]
     ).first().asDict()
 
+    cuts = F.array(*[F.array(*[F.lit(float(e)) for e in sorted(set(edges[c] or [0.0]))]) for c in numeric])
+    names = F.array(*[F.lit(c) for c in [*numeric, *categorical]])
+
     def binned(df: DataFrame, sample: str) -> DataFrame:
-        bins = []
-        for c in numeric:
-            value = F.col(c).cast("double")
-            cuts = sorted(set(edges[c] or []))
-            bin_no = sum(((value > F.lit(float(cut))).cast("int") for cut in cuts), F.lit(0))
-            bins.append((c, F.coalesce(bin_no.cast("string"), F.lit("null"))))
-        bins += [(c, F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in categorical]
-        rows = F.array(*[F.struct(F.lit(c).alias("feature"), b.alias("bin")) for c, b in bins])
-        return df.select(F.inline(rows)).withColumn("sample", F.lit(sample))
+        """(position of the feature, bin): numbers travel as numbers, names are attached after counting."""
+        numbers = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in numeric])).alias("pos", "value"))
+        own = F.element_at(cuts, F.col("pos") + 1)
+        bins = numbers.select(
+            "pos",
+            F.when(F.col("value").isNull(), "null").otherwise(
+                F.size(F.filter(own, lambda e: e < F.col("value"))).cast("string")
+            ).alias("bin"),
+        )
+        if categorical:
+            labels = F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in categorical])
+            bins = bins.unionByName(
+                df.select(F.posexplode(labels).alias("pos", "bin")).withColumn("pos", F.col("pos") + len(numeric))
+            )
+        return bins.withColumn("sample", F.lit(sample))
 
     counts = (
         binned(reference, "reference").unionByName(binned(current, "current"))
-        .groupBy("feature", "bin")
+        .groupBy("pos", "bin")
         .agg(
             F.count_if(F.col("sample") == "reference").alias("n_reference"),
             F.count_if(F.col("sample") == "current").alias("n_current"),
         )
+        .select(F.element_at(names, F.col("pos") + 1).alias("feature"), "bin", "n_reference", "n_current")
     )
     # a bin per row from here on; categories with many values have many bins but few rows each
     totals = counts.groupBy("feature").agg(

@@ -163,7 +163,8 @@ class RetailTables:
 
     @cached_property
     def days(self) -> DataFrame:
-        return cal.with_event_distances(self.calendar)
+        """The calendar with event distances, computed once."""
+        return staged(cal.with_event_distances(self.calendar), "days")
 
     # -- series, panel, prices
 
@@ -222,7 +223,7 @@ class RetailTables:
     @cached_property
     def enriched(self) -> DataFrame:
         return sales_ops.sales_enriched(
-            self.panel, self.days, cal.snap_by_state(self.calendar), self.prices
+            self.panel, self.days, cal.snap_by_state(self.days), self.prices
         )
 
     def raw_wide(self) -> DataFrame:
@@ -391,7 +392,7 @@ class RetailTables:
 
     def mart(self, mode: str = "train", external: bool = True, **options) -> DataFrame:
         return mart_ops.build_mart(
-            self.panel, self.days, cal.snap_by_state(self.calendar), self.prices,
+            self.panel, self.days, cal.snap_by_state(self.days), self.prices,
             self.weather_features() if external else None,
             self.holiday_features() if external else None,
             self.as_of, mode, self.horizon, stage_all=staged_all, **options,
