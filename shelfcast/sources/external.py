@@ -26,8 +26,10 @@ def parse_weather(payloads: DataFrame) -> DataFrame:
     The payload holds parallel arrays. A document without `daily` is an error, not an empty result.
     """
     daily = F.col("doc.daily")
+    # a measure left out of the payload is an empty array, padded with NULL; a NULL array would drop every day
+    absent = F.array().cast("array<double>")
     zipped = F.arrays_zip(
-        daily["time"].alias("time"), *[daily[m].alias(m) for m in WEATHER_MEASURES]
+        daily["time"].alias("time"), *[F.coalesce(daily[m], absent).alias(m) for m in WEATHER_MEASURES]
     )
     checked = F.when(daily["time"].isNotNull(), zipped).otherwise(
         F.raise_error(F.concat(F.lit("weather payload without daily values: "), F.col("state_id")))

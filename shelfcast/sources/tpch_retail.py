@@ -7,9 +7,11 @@ and kept as actuals for scoring.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -391,8 +393,14 @@ class RetailTables:
     # -- mart
 
     def mart(self, mode: str = "train", external: bool = True, **options) -> DataFrame:
+        # the calendar and the prices do not depend on each other: stage them at the same time
+        self.partitions  # needs series and bounds, which both threads read
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            in_thread = inheritable_thread_target(self.spark)
+            days, prices = pool.submit(in_thread(lambda: self.days)), pool.submit(in_thread(lambda: self.prices))
+            days, prices = days.result(), prices.result()
         return mart_ops.build_mart(
-            self.panel, self.days, cal.snap_by_state(self.days), self.prices,
+            self.panel, days, cal.snap_by_state(days), prices,
             self.weather_features() if external else None,
             self.holiday_features() if external else None,
             self.as_of, mode, self.horizon, stage_all=staged_all, **options,
