@@ -25,13 +25,15 @@ def stage_prices(raw: DataFrame, as_of_safe: bool = False) -> DataFrame:
     # which Spark does not offer as a window aggregate
     first_week_of_price = Window.partitionBy(*SERIES, "sell_price").orderBy("wm_yr_wk")
     return (
-        src.withColumn("_prev", F.lag(price, 1).over(history))
-        .withColumn("_back4", F.lag(price, 4).over(history))
-        .withColumn("first_price_week", F.min("wm_yr_wk").over(span))
-        .withColumn("_mean", F.avg(price).over(span))
-        .withColumn("price_std_item_store", F.stddev_pop(price).over(span))
-        .withColumn("_max", F.max(price).over(span))
-        .withColumn("_new", flag(F.lag(price, 1).over(first_week_of_price).isNull()))
+        src.withColumns({
+            "_prev": F.lag(price, 1).over(history),
+            "_back4": F.lag(price, 4).over(history),
+            "first_price_week": F.min("wm_yr_wk").over(span),
+            "_mean": F.avg(price).over(span),
+            "price_std_item_store": F.stddev_pop(price).over(span),
+            "_max": F.max(price).over(span),
+            "_new": flag(F.lag(price, 1).over(first_week_of_price).isNull()),
+        })
         .withColumn("price_nunique_item", F.sum("_new").over(span))
         .select(
             *SERIES,

@@ -29,13 +29,20 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def six_decimals(c):
+    """Half away from zero in plain arithmetic (`round` goes through a decimal per value); never -0.0."""
+    size = F.abs(c)
+    quick = F.signum(c) * F.floor(F.least(size, F.lit(1e9)) * 1e6 + 0.5) / F.lit(1e6) + F.lit(0.0)
+    return F.when(size < 1e9, quick).otherwise(F.round(c, 6))
+
+
 def tidy(df: DataFrame) -> DataFrame:
     """Comparable output: doubles to six decimals, whole numbers as long."""
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (DoubleType, FloatType, DecimalType)):
-            c = F.round(c.cast("double"), 6)
+            c = six_decimals(c.cast("double"))
         elif isinstance(f.dataType, IntegralType):
             c = c.cast("long")
         columns.append(c.alias(f.name))

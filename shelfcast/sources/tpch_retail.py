@@ -84,7 +84,7 @@ class RetailTables:
         """
         lines = self.table("lineitem").select(
             "l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("date"), "l_quantity",
-            F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
+            F.floor(F.col("l_extendedprice") * 100 + 0.5).alias("cents"),
         )
         items = self.table("part").select("p_partkey", F.col("p_type").alias("item_id"))
         daily = (
