@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.llm import bpe, packing, token_counts
+from shelfcast.llm import bpe, ngram_join, packing, token_counts
 from shelfcast.llm.common import table
 
 WORDS = "word_bpe_49k.json"
@@ -19,6 +19,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), CAPACITY)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
 
