@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, ngram_join, packing, token_counts
+from shelfcast.llm import bpe, lm_scoring, ngram_join, packing, token_counts
 from shelfcast.llm.common import table
 
 WORDS = "word_bpe_49k.json"
@@ -15,6 +16,11 @@ PIECES = "piece_bpe_32k.model"
 CAPACITY = 4096
 
 
+def fold(parts: int, id_col: str) -> Column:
+    """Held out: rows whose CRC-32 of the id in text leaves 1. Null ids are not held out."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % parts == 1, F.lit(False))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), CAPACITY)
 
@@ -27,6 +33,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
 
 
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), fold(5, "doc_id"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), CAPACITY)
 
