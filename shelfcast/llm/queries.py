@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, lm_scoring, ngram_join, packing, token_counts
+from shelfcast.llm import bpe, embedding_dups, lm_scoring, ngram_join, packing, token_counts
 from shelfcast.llm.common import table
 
 WORDS = "word_bpe_49k.json"
@@ -25,6 +25,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), CAPACITY)
 
 
+def op4_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"), similarity=0.9)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
 
