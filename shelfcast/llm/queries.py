@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import ann, bpe, embedding_dups, lm_scoring, ngram_join, packing, token_counts
+from shelfcast.llm import ann, bpe, embedding_dups, lm_scoring, ngram_join, packing, pii, token_counts
 from shelfcast.llm.common import table
 
 WORDS = "word_bpe_49k.json"
@@ -42,6 +42,10 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows, rows["vec_id"] % 100 == 0, k=10)
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"), fold(5, "doc_id"))
 
