@@ -46,7 +46,7 @@ _LOOSE = {
     ),
     "ip": re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])"),
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[ ./_-]?[0-9]{4}){2}[ ./_-]?[0-9]{1,7}(?![0-9])"),
-    "phone": re.compile(r"(?<![0-9+])(?:00[1-9][0-9]{0,2}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"),
+    "phone": re.compile(r"(?<![0-9+])(?:(?:\+|00)[1-9][0-9]{0,2}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"),
 }
 _BEFORE = {
     "email": re.compile(r"e-?mail|contact|write|reach|correo|courriel|kontakt", re.I),

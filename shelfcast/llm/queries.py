@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import ann, bpe, embedding_dups, lm_scoring, ngram_join, packing, pii, token_counts
+from shelfcast.llm import ann, bpe, embedding_dups, lm_scoring, ngram_join, packing, pii, token_counts, toxicity
 from shelfcast.llm.common import table
 
 WORDS = "word_bpe_49k.json"
@@ -21,6 +21,11 @@ def fold(parts: int, id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % parts == 1, F.lit(False))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, labels, fold(3, "doc_id"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), CAPACITY)
 
