@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import ann, bpe, embedding_dups, lm_scoring, ngram_join, packing, pii, token_counts, toxicity
+from shelfcast.llm import ann, bpe, embedding_dups, line_dedup, lm_scoring, ngram_join, packing, pii, token_counts, toxicity
 from shelfcast.llm.common import table
 
 WORDS = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
 CAPACITY = 4096
+#: Least words of a repeated run of lines.
+LINE_RUN_WORDS = 50
 
 
 def fold(parts: int, id_col: str) -> Column:
@@ -21,6 +23,10 @@ def fold(parts: int, id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % parts == 1, F.lit(False))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.delete_later_copies(table(spark, sf_dir, "documents"), min_words=LINE_RUN_WORDS)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.score(docs, labels, fold(3, "doc_id"))
