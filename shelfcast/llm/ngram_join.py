@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import Workspace, slices, texts_of
@@ -100,9 +100,9 @@ def _features(width: int, percent: int):
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
             flat = np.concatenate(keys).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+                [batch.column(0), *batch.columns[2:], pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
-                names=["id", "n", "set_id", "keys"],
+                names=["id", *batch.schema.names[2:], "n", "set_id", "keys"],
             )
 
     return run
@@ -144,13 +144,43 @@ def jaccard_components(
     docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per row: id, n_shingles, component_id. Texts link when their similarity is `percent` / 100 or more."""
-    spark = docs.sparkSession
-    work = Workspace(spark)
     source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    return components_of(source, width, percent).select(F.col("id").alias(id_col), "n_shingles", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, width: int, percent: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`docs` with one row of each component: the least id, null last, then the least hash of the text.
+
+    Rows without words are linked with nothing and all stay.
+    """
+    digest = F.xxhash64(docs[text_col])
+    source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), digest.alias("text_hash"))
+    found = components_of(source, width, percent, "text_hash")
+    rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("text_hash").alias("text_hash"))
+    first = found.where("n_shingles > 0").groupBy("component").agg(F.min(rank).alias("k"))
+    alone = found.where("n_shingles = 0").select("id", "text_hash", F.lit(False).alias("once")).distinct()
+    stay = first.select("k.id", "k.text_hash", F.lit(True).alias("once")).union(alone)
+    stay = stay.select(F.col("id").alias("_stay_id"), F.col("text_hash").alias("_stay_hash"), F.col("once").alias("_once"))
+    joined = docs.withColumn("_hash", digest).join(
+        stay, docs[id_col].eqNullSafe(F.col("_stay_id")) & (F.col("_hash") == F.col("_stay_hash"))
+    )
+    same = Window.partitionBy("_stay_id", "_stay_hash").orderBy("_once")
+    return joined.withColumn("_copy", F.row_number().over(same)).where("_copy = 1 or not _once").select(*docs.columns)
+
+
+def components_of(source: DataFrame, width: int, percent: int, *keep: str) -> DataFrame:
+    """Per row of `source` (id, text): id, the columns in `keep`, n_shingles, component_id, and `component`, a number
+    that only rows of one component share (null without shingles)."""
+    spark = source.sparkSession
+    work = Workspace(spark)
+    source = source.select("id", "text", *keep)
+    rest = "".join(f", {f.name} {f.dataType.simpleString()}" for f in source.schema[2:])
     id_type = source.schema[0].dataType.simpleString()
 
     features = work.keep(
-        source.mapInArrow(_features(width, percent), f"id {id_type}, n long, set_id binary, keys array<long>"), "features"
+        source.mapInArrow(_features(width, percent), f"id {id_type}{rest}, n long, set_id binary, keys array<long>"), "features"
     )
     classes = work.keep(
         features.where("n > 0").groupBy("set_id").agg(F.min("id").alias("first_id"), F.first("n").alias("n"))
@@ -163,7 +193,7 @@ def jaccard_components(
         "keyed",
     )
     rows = work.keep(
-        features.select("id", "n", "set_id").join(classes.select("set_id", "node"), "set_id", "left").drop("set_id"),
+        features.drop("keys").join(classes.select("set_id", "node"), "set_id", "left").drop("set_id"),
         "rows",
     )
     work.drop("features")
@@ -200,9 +230,13 @@ def jaccard_components(
     work.drop("tiled", "members", "pairs")
     labels = connected_components(work, found, "components").join(classes.select("node", "first_id"), "node")
     least = labels.groupBy("label").agg(F.min("first_id").alias("least_id"))
-    linked = labels.join(least, "label").select("node", "least_id")
+    linked = labels.join(least, "label").select("node", "label", "least_id")
     alone = classes.select("node", "first_id").join(linked, "node", "left")
-    components = work.keep(alone.select("node", F.coalesce("least_id", "first_id").alias("component_id")), "labels")
+    components = work.keep(
+        alone.select("node", F.coalesce("label", "node").alias("component"),
+                     F.coalesce("least_id", "first_id").alias("component_id")),
+        "labels",
+    )
     return rows.join(components, "node", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
+        "id", *keep, F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), "component"
     )
