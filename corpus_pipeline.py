@@ -37,13 +37,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = toxicity.score(
         docs, table(spark, sf_dir, "labels"), fold(3, "doc_id"), keep=tuple(c for c in docs.columns if c != "doc_id")
     )
-    return scored.where("predicted = 0").select(*docs.columns)
+    return scored.where("predicted = 0").select("doc_id", "kept.*").select(*docs.columns)
 
 
 def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = line_dedup.delete_later_copies(docs, LINE_RUN_WORDS, keep=_others(docs))
     emptied = (F.col("n_deleted") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return _measured(left.where(~F.coalesce(emptied, F.lit(False))), docs.columns)
+    left = left.where(~F.coalesce(emptied, F.lit(False)))
+    return _measured(left.select("doc_id", "text", *(["kept.*"] if _others(docs) else [])), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -137,11 +137,12 @@ def repeated_runs(work: Workspace, source: DataFrame, min_words: int) -> DataFra
 def delete_later_copies(
     docs: DataFrame, min_words: int, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Per row: id, the columns in `keep`, the remaining text, n_lines and n_deleted (of the lines, blank included)."""
+    """Per row: id, the columns of `docs` named in `keep` as a struct `kept`, the remaining text, n_lines and n_deleted
+    (of the lines, blank included)."""
     work = Workspace(docs.sparkSession)
     source = docs.select(
         docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("text_hash"),
-        *(docs[c].alias(f"_{c}") for c in keep),
+        *([F.struct(*(docs[c] for c in keep)).alias("kept")] if keep else []),
     )
     runs = repeated_runs(work, source.select("id", "text", "text_hash"), min_words)
     runs = runs.select(F.col("id").alias("r_id"), F.col("text_hash").alias("r_hash"), "runs")
@@ -151,7 +152,7 @@ def delete_later_copies(
     text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     deleted = F.aggregate("runs", F.lit(0), lambda n, r: n + r["stop"] - r["start"] + 1)
     return joined.select(
-        F.col("id").alias(id_col), *(F.col(f"_{c}").alias(c) for c in keep), text.alias(text_col),
+        F.col("id").alias(id_col), *(["kept"] if keep else []), text.alias(text_col),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(F.col("runs").isNull(), 0).otherwise(deleted).cast("long").alias("n_deleted"),
     )

@@ -145,29 +145,37 @@ def votes_and_features(text: str, kind: int, start: int, end: int, strict: bool)
     return votes, sum(1 << i for i, f in enumerate(flags) if f)
 
 
+def _found(texts: pa.Array) -> list[list[dict]]:
+    """Base spans and candidates of each text, with votes and features."""
+    some = pc.match_substring_regex(texts, r"[0-9@]|[\(\[\{<]at[\)\]\}>]").to_pylist()
+    out = []
+    for row, any_span in enumerate(some):
+        found = []
+        if any_span:
+            text = texts[row].as_py()
+            base = base_spans(text)
+            for strict, spans in ((True, base), (False, loose_spans(text, base))):
+                for kind, a, b in spans:
+                    votes, features = votes_and_features(text, kind, a, b, strict)
+                    code = sum((v + 1) * 3**i for i, v in enumerate(votes))
+                    found.append({"kind": kind, "start": a, "stop": b, "base": strict, "votes": code,
+                                  "features": features})
+        out.append(found)
+    return out
+
+
+def _decided(spans: list[dict], table: dict) -> list[dict]:
+    """Base spans and likely candidates, by kind and start."""
+    kept = [s for s in spans if s["base"] or table.get((s["kind"], s["features"]), 0) >= ADDED]
+    return sorted(kept, key=lambda s: (s["kind"], s["start"]))
+
+
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("stop", pa.int64()), ("base", pa.bool_()),
                        ("votes", pa.int32()), ("features", pa.int32())])
     for batch in slices(batches):
-        texts = texts_of(batch.column(1))
-        some = pc.match_substring_regex(texts, r"[0-9@]|[\(\[\{<]at[\)\]\}>]").to_pylist()
-        out = []
-        for row, any_span in enumerate(some):
-            found = []
-            if any_span:
-                text = texts[row].as_py()
-                base = base_spans(text)
-                for strict, spans in ((True, base), (False, loose_spans(text, base))):
-                    for kind, a, b in spans:
-                        votes, features = votes_and_features(text, kind, a, b, strict)
-                        code = sum((v + 1) * 3**i for i, v in enumerate(votes))
-                        found.append({"kind": kind, "start": a, "stop": b, "base": strict, "votes": code,
-                                      "features": features})
-            out.append(found)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *batch.columns[2:], pa.array(out, pa.list_(kinds))],
-            names=["id", *batch.schema.names[2:], "spans"],
-        )
+        out = _found(texts_of(batch.column(1)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(kinds))], names=["id", "spans"])
 
 
 _SPANS = "array<struct<kind: int, start: bigint, stop: bigint, base: boolean, votes: int, features: int>>"
@@ -228,66 +236,65 @@ def fit(found: DataFrame) -> dict[tuple[int, int], float]:
     return table
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: id, the columns in `keep`, and `spans`: array of (kind, start, stop, base), by kind and start."""
-    work = Workspace(docs.sparkSession)
-    source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *(docs[c].alias(f"_{c}") for c in keep))
-    rest = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema[2:])
-    found = work.keep(
-        source.mapInArrow(_spans, f"id {source.schema[0].dataType.simpleString()}{rest}, spans {_SPANS}"), "spans"
-    )
+def _candidates(work: Workspace, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    schema = f"id {source.schema[0].dataType.simpleString()}, spans {_SPANS}"
+    return work.keep(source.mapInArrow(_spans, schema), "spans")
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id and `spans`, an array of (kind, start, stop, base), by kind and start."""
+    found = _candidates(Workspace(docs.sparkSession), docs, id_col, text_col)
     table = docs.sparkSession.sparkContext.broadcast(fit(found))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("base", pa.bool_())])
         for batch in batches:
-            rows = []
-            for spans in batch.column(batch.num_columns - 1).to_pylist():
-                kept = [s for s in spans if s["base"] or table.value.get((s["kind"], s["features"]), 0) >= ADDED]
-                kept.sort(key=lambda s: (s["kind"], s["start"]))
-                rows.append([{"kind": KINDS[s["kind"]], "start": s["start"], "stop": s["stop"], "base": s["base"]}
-                             for s in kept])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(rows, pa.list_(kinds))], names=batch.schema.names
-            )
+            rows = [
+                [{"kind": KINDS[s["kind"]], "start": s["start"], "stop": s["stop"], "base": s["base"]}
+                 for s in _decided(spans, table.value)]
+                for spans in batch.column(1).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(kinds))], names=["id", "spans"])
 
     out = "array<struct<kind: string, start: bigint, stop: bigint, base: boolean>>"
-    decided = found.mapInArrow(decide, f"id {source.schema[0].dataType.simpleString()}{rest}, spans {out}")
-    return decided.select(F.col("id").alias(id_col), *(F.col(f"_{c}").alias(c) for c in keep), "spans")
+    id_type = found.schema["id"].dataType.simpleString()
+    return found.mapInArrow(decide, f"id {id_type}, spans {out}").withColumnRenamed("id", id_col)
 
 
-def masked(text: str | None, spans: list) -> str | None:
+def masked(text: str, spans: list[dict]) -> str:
     """Text with each stretch covered by spans replaced by the kind of its first span, in angle brackets."""
-    if not spans:
-        return text
     parts, done = [], 0
-    for kind, start, stop in sorted(spans, key=lambda s: (s[1], -s[2])):
-        if start >= done:
-            parts += [text[done:start], f"<{kind.upper()}>"]
-        done = max(done, stop)
+    for s in sorted(spans, key=lambda s: (s["start"], -s["stop"])):
+        if s["start"] >= done:
+            parts += [text[done : s["start"]], f"<{KINDS[s['kind']].upper()}>"]
+        done = max(done, s["stop"])
     return "".join([*parts, text[done:]])
 
 
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with the spans of each text replaced by their kind; other columns unchanged."""
-    columns = docs.columns
-    others = tuple(c for c in columns if c != id_col)
-    found = find(docs, id_col, text_col, keep=others)
+    """`docs` with the spans of each text replaced by their kind; null texts and other columns unchanged.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.names.index(text_col)
-            texts = [
-                masked(t, [(s["kind"], s["start"], s["stop"]) for s in spans])
-                for t, spans in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(),
-                                    strict=True)
-            ]
-            arrays = list(batch.columns[:-1])
-            arrays[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names[:-1])
+    Spans are looked for twice, once to learn and once to replace: that is cheaper than to keep all texts twice.
+    """
+    work = Workspace(docs.sparkSession)
+    table = docs.sparkSession.sparkContext.broadcast(fit(_candidates(work, docs, id_col, text_col)))
+    work.clear()
+    at = docs.columns.index(text_col)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema[:-1])
-    return found.mapInArrow(run, schema).select(*columns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text=at):
+            old = batch.column(at).cast(pa.string())
+            found = _found(texts_of(old))
+            arrays = list(batch.columns)
+            if any(found):
+                arrays[at] = pa.array(
+                    [masked(t.as_py(), _decided(f, table.value)) if f else t.as_py() for t, f in zip(old, found, strict=True)],
+                    pa.string(),
+                )
+            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -320,13 +320,14 @@ def score(
     docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", threshold: float = 0.7, keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per row: id, the columns in `keep`, held_out, score (0 to 1), predicted (score >= threshold).
+    """Per row: id, the columns of `docs` named in `keep` as a struct `kept`, held_out, score (0 to 1), predicted
+    (score >= threshold).
 
     Rows where `held_out`, a column over `docs`, is true are scored but not learned from.
     """
     source = docs.select(
         docs[id_col].alias("id"), docs[text_col].alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        *(docs[c].alias(f"_{c}") for c in keep),
+        *([F.struct(*(docs[c] for c in keep)).alias("kept")] if keep else []),
     )
     model = docs.sparkSession.sparkContext.broadcast(learn(
         source.where(~F.col("held_out")).select("id", "text"),
@@ -344,7 +345,6 @@ def score(
                 names=["id", *batch.schema.names[2:], "score", "predicted"],
             )
 
-    rest = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in source.schema[2:])
+    rest = "".join(f", {f.name} {f.dataType.simpleString()}" for f in source.schema[2:])
     out = source.mapInArrow(run, f"id {source.schema[0].dataType.simpleString()}{rest}, score double, predicted int")
-    kept = [F.col(f"_{c}").alias(c) for c in keep]
-    return out.select(F.col("id").alias(id_col), *kept, "held_out", "score", "predicted")
+    return out.withColumnRenamed("id", id_col)
