@@ -13,8 +13,8 @@ end at 2^k <= `min_words`, however long the runs are.
 
 Earlier means: smaller id, null ids first; for equal ids the smaller hash of the text; then the line number. A copy
 may overlap the run it copies. Defined results: a null text stays null and has no lines; an empty text is one blank
-line. Rows equal in id and text are one document listed several times, and are all treated alike. Blank lines inside
-a deleted run go with it, others stay. An empty table gives an empty result. Further columns are ignored.
+line. Rows equal in id and text are one document listed several times, and are all treated alike. Blank lines between
+two deleted lines go with them, others stay. An empty table gives an empty result. Further columns are ignored.
 
 All steps are DataFrame operations. Lines meet by hash in aggregates with map-side combine and in joins, which Spark
 splits when skewed; windows run by document.
@@ -124,9 +124,10 @@ def repeated_runs(work: Workspace, source: DataFrame, min_words: int) -> DataFra
         if ranks.isEmpty():
             break
     later = reduce(DataFrame.union, found).distinct()
-    in_order = Window.partitionBy(*DOC).orderBy("first_line", "last_line")
-    reached = F.max("last_line").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    runs = later.withColumn("new", F.coalesce((F.col("first_line") > reached + 1).cast("int"), F.lit(1)))
+    in_order = Window.partitionBy(*DOC).orderBy("first", "last")
+    reached = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    # parts that touch, blank lines aside, are one run
+    runs = later.withColumn("new", F.coalesce((F.col("first") > reached + 1).cast("int"), F.lit(1)))
     runs = runs.withColumn("run", F.sum("new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
     runs = runs.groupBy(*DOC, "run").agg(F.min("first_line").alias("start"), F.max("last_line").alias("stop"))
     runs = work.keep(runs.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("runs")), "runs")
