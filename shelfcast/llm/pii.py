@@ -182,24 +182,27 @@ _SPANS = "array<struct<kind: int, start: bigint, stop: bigint, base: boolean, vo
 
 
 def reliabilities(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Accuracy of each labeler and probability of each vote pattern, by expectation-maximisation.
+    """How each labeler votes on both classes, and the probability of each vote pattern, by expectation-maximisation.
 
-    Labelers err independently; pseudo-counts hold that each is right more often than not, which tells the two
-    classes apart. A labeler's votes for and against have separate accuracies.
+    The first result is (class, labeler, vote): shares of votes against, abstained and for. Labelers err
+    independently; abstaining is a vote like others, as some speak up on one side only. The start, and pseudo-counts,
+    hold that votes are right more often than not, which tells the two classes apart.
     """
-    votes = codes[:, None] // 3 ** np.arange(LABELERS) % 3 - 1
-    share, hits = 0.5, np.full((2, LABELERS), 0.8)
-    for _ in range(100):
-        odds = np.full(len(codes), np.log(share / (1 - share)))
-        for vote, row in ((FOR, 0), (AGAINST, 1)):
-            odds += ((votes == vote) * (vote * np.log(hits[row] / (1 - hits[row])))).sum(1)
-        p = 1 / (1 + np.exp(-odds))
+    votes = codes[:, None] // 3 ** np.arange(LABELERS) % 3
+    belief = np.array([[0.5, 0.35, 0.15], [0.15, 0.35, 0.5]])[:, None, :].repeat(LABELERS, axis=1)
+    share, shares, p = 0.5, belief, np.full(len(codes), 0.5)
+    for _ in range(200):
+        both = [np.log(shares[k][np.arange(LABELERS), votes]).sum(1) for k in (0, 1)]
+        new = 1 / (1 + np.exp(np.clip(both[0] - both[1] + np.log((1 - share) / share), -500, 500)))
+        moved, p = np.abs(new - p).max(initial=0), new
         share = float(((p * counts).sum() + 1) / (counts.sum() + 2))
-        for vote, row in ((FOR, 0), (AGAINST, 1)):
-            right = p if vote == FOR else 1 - p
-            cast = (votes == vote) * counts[:, None]
-            hits[row] = ((cast * right[:, None]).sum(0) + 8) / (cast.sum(0) + 10)
-    return hits, p
+        cast = [
+            np.stack([((votes == v) * (w * counts)[:, None]).sum(0) for v in range(3)], axis=1) for w in (1 - p, p)
+        ]
+        shares = np.stack([(cast[k] + 8 * belief[k]) / (cast[k].sum(1, keepdims=True) + 8) for k in (0, 1)])
+        if moved < 1e-9:
+            break
+    return shares, p
 
 
 def span_classifier(features: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> np.ndarray:

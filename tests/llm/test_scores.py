@@ -1,0 +1,215 @@
+"""Toxicity, personal data and language-model scores: plain versions, properties and held-out accuracy."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from llm_rows import rows_of
+from shelfcast.llm import lm_scoring, pii, toxicity
+from shelfcast.llm.queries import fold
+
+DATA = "/root/testdata/sf0.01"
+
+
+def held_out(doc_id, parts):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % parts == 1
+
+
+# -- toxicity
+
+def test_clauses_compose():
+    machine, i = toxicity.grammar(), toxicity
+    plain = machine.clause([(4, i.INSULT, 3.0)])
+    assert machine.clause([(3, i.TARGET, 0), (4, i.INSULT, 3.0)]) > plain
+    assert machine.clause([(3, i.NEGATION, 0), (4, i.INSULT, 3.0)]) < plain
+    assert machine.clause([(0, i.REPORT, 0), (9, i.INSULT, 3.0)]) < plain
+    # a denial is forgotten after three words, a report is not within its clause
+    assert machine.clause([(0, i.NEGATION, 0), (9, i.INSULT, 3.0)]) == plain
+    assert machine.clause([(3, i.INTENT, 0), (4, i.THREAT, 3.0)]) > machine.clause([(4, i.THREAT, 3.0)])
+    assert machine.clause([]) == 0
+
+
+def test_stems_are_the_narrowest_that_serve():
+    toxic = {"tra": 50, "tras": 50, "trash": 50, "veq": 40, "vequ": 40, "vequa": 12, "the": 60}
+    clean = {"tra": 0, "veq": 0, "the": 900}
+    kept = toxicity.chosen_stems(toxic, clean, 100, 1000)
+    assert set(kept) == {"trash", "vequ"}
+
+
+def test_toxicity_edges(edge_docs, clashing_docs, no_docs, labels, spark):
+    for given_labels in (labels, labels.limit(0)):
+        found = toxicity.score(edge_docs, given_labels, fold(3, "doc_id"))
+        rows = rows_of(found, "doc_id", "held_out", "score", "predicted")
+        assert Counter((i, h) for i, h, _, _ in rows) == Counter((i, held_out(i, 3)) for (i,) in rows_of(edge_docs, "doc_id"))
+        assert all(0 <= s <= 1 and p == (s >= 0.7) for _, _, s, p in rows)
+    kept = toxicity.score(clashing_docs, labels, fold(3, "doc_id"), keep=("kept", "score", "text"))
+    assert kept.select("kept.*").columns == ["kept", "score", "text"]
+    assert Counter(rows_of(kept, "kept.text")) == Counter(rows_of(edge_docs, "text"))
+    assert rows_of(toxicity.score(no_docs, labels, fold(3, "doc_id"))) == []
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    labelled = labels.select("doc_id", "toxic").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    scored = toxicity.score(docs, labels, fold(3, "doc_id")).join(labelled, "doc_id").where("held_out")
+    n = Counter(rows_of(scored, "toxic", "predicted"))
+    # some rows labelled toxic hold no word that others do
+    assert n[1, 1] / (n[1, 1] + n[1, 0]) >= 0.9
+    assert n[0, 0] / (n[0, 0] + n[0, 1]) >= 0.99
+
+
+# -- personal data
+
+#: The base patterns.
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def base(text):
+    found = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = [int(d) for d in re.findall("[0-9]", m[0])]
+            doubled = [d if i % 2 == 0 else 2 * d - 9 * (d > 4) for i, d in enumerate(reversed(digits))]
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and (not 13 <= len(digits) <= 19 or sum(doubled) % 10):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            found.append((kind, m.start(), m.end()))
+    return found
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("0123456789.+- ()@ab%_é"), max_size=60) | st.text(st.sampled_from("41 -."), max_size=45))
+def test_base_spans(text):
+    assert [(pii.KINDS[k], a, b) for k, a, b in pii.base_spans(text)] == base(text)
+
+
+def test_long_runs_take_linear_time():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "a@" * 50_000, "1." * 100_000, "+1" + " " * 100_000):
+        pii.base_spans(text)
+        pii.loose_spans(text, [])
+
+
+def test_digest(edge_docs, clashing_docs, no_docs, spark):
+    rows = rows_of(edge_docs, "doc_id", "text")
+    rows += [(20, "call +1 (366) 555-9807 or 4111 1111 1111 1111, 10.0.0.1 or 10.0.0.256, a@b.c"), (21, "é+1 (2) 3456 7890")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("own"))
+    want = Counter()
+    for i, t in rows:
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in base(t))
+        n = Counter(k for k, _, _ in base(t))
+        want[i, *(n[k] for k in PATTERNS), hashlib.sha256(listed.encode()).hexdigest()] += 1
+    found = rows_of(pii.digest(docs))
+    assert Counter(r[:6] for r in found) == want
+    for r in found:
+        spans = [s for s in r[6].split(",") if s]
+        assert set(f"{k}:{a}:{b}" for k, a, b in base(dict(rows)[r[0]] if r[0] in (20, 21) else "")) <= set(spans)
+    assert len(rows_of(pii.digest(clashing_docs))) == edge_docs.count()
+    assert rows_of(pii.digest(no_docs)) == []
+
+
+def test_reliabilities_are_found():
+    r = np.random.default_rng(8)
+    truth = r.random(20_000) < 0.3
+    right = np.array([0.95, 0.9, 0.7, 0.8, 0.85, 0.6])
+    votes = np.where(r.random((20_000, 6)) < right, truth[:, None], ~truth[:, None]).astype(int)
+    codes, counts = np.unique(((votes * 2) * 3 ** np.arange(6)).sum(1), return_counts=True)
+    shares, p = pii.reliabilities(codes, counts.astype(float))
+    assert shares[1, :, 2] == pytest.approx(right, abs=0.03) and shares[0, :, 0] == pytest.approx(right, abs=0.03)
+    assert float((p * counts).sum() / counts.sum()) == pytest.approx(0.3, abs=0.05)
+
+
+def test_candidates_beside_the_base_are_added(spark):
+    text = "reach me on +1 (826) 555-4081 190.137.2.9 now"
+    assert not [s for s in base(text) if s[0] == "phone"]
+    rows = [(i, f"call +1 (366) 555-{1000 + i}, thanks") for i in range(200)] + [(900 + i, text) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = dict(rows_of(pii.digest(docs), "doc_id", "spans"))
+    assert "phone:12:29" in spans[900]
+
+
+def test_mask(edge_docs, clashing_docs, no_docs):
+    found = pii.mask(clashing_docs)
+    assert found.schema.names == clashing_docs.columns
+    texts = {i: t for i, t in rows_of(found, "doc_id", "text")}
+    assert texts[1] == "One short text. Mail <EMAIL> now" and texts[2] is None and texts[3] == ""
+    unchanged = Counter(r for r in rows_of(edge_docs) if r[0] != 1)
+    assert Counter(r for r in rows_of(pii.mask(edge_docs)) if r[0] != 1) == unchanged
+    assert rows_of(pii.mask(no_docs)) == []
+
+
+# -- language model
+
+def test_word_probabilities_are_a_distribution():
+    """The probabilities of all one-byte words and beginnings add up to one."""
+    tables = np.zeros((lm_scoring.ORDERS, 1 << lm_scoring.SLOT_BITS), np.uint16)
+    mixer = lm_scoring.Mixer()
+    total = 0.0
+    for first in range(256):
+        flat = np.array([first], np.uint8)
+        hashes, place = lm_scoring.contexts(flat, np.array([0, 1]))
+        slots, bits, _ = lm_scoring.bit_slots(flat, hashes)
+        codes = np.stack([tables[o][slots[o]] for o in range(lm_scoring.ORDERS)])
+        gate, by_place = lm_scoring._gates(lm_scoring.EVIDENCE[codes], place)
+        p, _ = mixer.predict(lm_scoring._inputs(lm_scoring.LOG_ODDS[codes]), gate, by_place, np.zeros(8, np.int64))
+        total += float(np.where(bits.reshape(-1) == 1, p, 1 - p).prod())
+    assert total == pytest.approx(1.0)
+
+
+def test_contexts_stay_inside_words():
+    flat, starts = lm_scoring.token_bytes(["the", "other", "the"])
+    hashes, place = lm_scoring.contexts(flat, starts)
+    assert (hashes[:, :4] == hashes[:, 10:]).all() and place.tolist() == [0, 1, 2, 3, 0, 1, 2, 3, 4, 5, 0, 1, 2, 3]
+    assert (hashes[-1, 4:6] != hashes[-1, :2]).any()
+
+
+def base_scores(rows, parts):
+    tokens = {k: [*(t or "").encode().lower().split(), "end"] for k, (_, t) in enumerate(rows)}
+    counts = Counter(x for k, (i, _) in enumerate(rows) if not held_out(i, parts) for x in tokens[k])
+    n, v = sum(counts.values()), len(counts)
+    return [
+        (i, held_out(i, parts), len(tokens[k]), sum(counts[x] > 0 for x in tokens[k]), n,
+         round(sum(math.log10((counts[x] + 0.5) / (n + 0.5 * (v + 1))) for x in tokens[k]), 6))
+        for k, (i, _) in enumerate(rows)
+    ]
+
+
+def test_language_model_edges(edge_docs, clashing_docs, no_docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 8)
+    monkeypatch.setattr(lm_scoring, "SAMPLE_TOKENS", 4096)
+    want = Counter(base_scores(rows_of(edge_docs, "doc_id", "text"), 5))
+    for docs in (edge_docs, clashing_docs):
+        rows = rows_of(lm_scoring.score(docs, fold(5, "doc_id")))
+        assert Counter((*r[:5], round(r[5], 6)) for r in rows) == want
+        assert all(r[6] < 0 and r[7] > 0 for r in rows)
+    assert rows_of(lm_scoring.score(no_docs, fold(5, "doc_id"))) == []
+    # nothing to learn from
+    nothing = rows_of(lm_scoring.score(edge_docs.where("doc_id = 5"), F.lit(True)))
+    assert [r[3:5] for r in nothing] == [(0, 0)] and nothing[0][6] < 0
+
+
+def test_language_model_beats_the_base_on_held_out_rows(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = rows_of(lm_scoring.score(docs, fold(5, "doc_id")))
+    want = base_scores(rows_of(docs, "doc_id", "text"), 5)
+    assert sorted(r[:5] for r in rows) == sorted(w[:5] for w in want)
+    assert [r[5] for r in sorted(rows)] == pytest.approx([w[5] for w in sorted(want)], rel=1e-8)
+    unseen = [r for r in rows if r[1] and r[3] == r[2]]
+    assert unseen and np.mean([r[6] > r[5] for r in unseen]) > 0.8
