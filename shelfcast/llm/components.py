@@ -20,9 +20,13 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     )).alias("e")).select("e.u", "e.v")
 
 
-def _star(neighbours: DataFrame, upward: bool) -> DataFrame:
-    """Hang the greater neighbours of each node, or the node and its smaller neighbours, onto the least node."""
+def _star(work: Workspace, neighbours: DataFrame, upward: bool, name: str) -> DataFrame:
+    """Hang the greater neighbours of each node, or the node and its smaller neighbours, onto the least node.
+
+    The least nodes are written first: a join with a table, unlike one with an aggregate, is split when skewed.
+    """
     least = neighbours.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    least = work.keep(least, name)
     joined = neighbours.join(least, "u")
     if upward:
         hung = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -38,10 +42,11 @@ def connected_components(work: Workspace, edges: DataFrame, name: str) -> DataFr
     """
     current, last, step = edges.select("a", "b").where("a <> b"), None, 0
     while True:
-        large = _star(_both_ways(current), upward=True)
-        small = _star(large.select(F.col("a").alias("u"), F.col("b").alias("v")), upward=False)
         step += 1
+        large = work.keep(_star(work, _both_ways(current), True, f"{name}-least-up"), f"{name}-large")
+        small = _star(work, large.select(F.col("a").alias("u"), F.col("b").alias("v")), False, f"{name}-least-down")
         current = work.keep(small, f"{name}-{step}")
+        work.drop(f"{name}-least-up", f"{name}-least-down", f"{name}-large")
         state = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if step > 1:
             work.drop(f"{name}-{step - 1}")

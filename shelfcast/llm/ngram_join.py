@@ -4,7 +4,8 @@
 2. Two sets of similarity s differ in at most |smaller| * (1 - s) / s shingles. Cut by their hash into one block
    more than that, two similar sets agree in a whole block. Sizes are cut into classes; a set emits the keys of its
    filled blocks for its own size class and for the smaller one whose members it may match. Where too few blocks
-   are filled for the argument, the set also emits the keys of a further cut, and so on; no pair is lost.
+   are filled for the argument, the set also emits the keys of a further cut, and so on, and of every shingle after
+   the last; no pair is lost.
 3. Keys met by one set alone are dropped by a map-side combined aggregate. Each set is paired with the first of its
    key, not with all others; the components of these pairs are families, and every link lies within a family.
 4. A family's sets go into a count-vector R-tree (see `count_tree`), which bounds overlaps by summed coordinate
@@ -38,6 +39,10 @@ from shelfcast.llm.shingles import mix, shingle_sets
 
 #: Shingles of a tile, which is one side of what a task compares.
 TILE = 3_000_000
+#: Size of the bitmap that keeps rows outside all families from being shuffled; when it fills up, more rows are.
+BITS = 1 << 25
+#: Cuts tried until one fills enough blocks.
+SEEDS = 8
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -51,6 +56,20 @@ class Blocks:
         self.bounds = [first]
         while self.bounds[-1] < 1 << 40:
             self.bounds.append(max(self.bounds[-1] + 1, self.bounds[-1] * 3 // 2))
+        self.cuts: dict[int, tuple[int, int]] = {}
+
+    def cut(self, c: int) -> tuple[int, int]:
+        """Most differing shingles in a class, and the number of blocks, of which a set most likely fills more."""
+        if c not in self.cuts:
+            least, differ = self.bounds[c], self.difference(self.bounds[c + 1] - 1)
+            blocks = differ + 2
+            while blocks < 4 * least:
+                empty = (1 - 1 / blocks) ** least
+                if blocks * (1 - empty) - 2 * (blocks * empty) ** 0.5 > differ:
+                    break
+                blocks += 1 + blocks // 16
+            self.cuts[c] = differ, blocks
+        return self.cuts[c]
 
     def difference(self, size: int) -> int:
         """Most shingles in which a set of at most `size` differs from a similar one at least as large."""
@@ -65,11 +84,9 @@ class Blocks:
     def keys(self, hashes: np.ndarray) -> np.ndarray:
         found = []
         for c in self.classes(len(hashes)):
-            differ = self.difference(self.bounds[c + 1] - 1)
-            blocks = differ + 2 + differ // 8
+            differ, blocks = self.cut(c)
             edges = (np.arange(1, blocks, dtype=np.float64) * (2.0**64 / blocks)).astype(np.uint64)
-            seed = 0
-            while True:
+            for seed in range(SEEDS):
                 h = hashes if not seed else np.sort(mix(hashes + np.full(1, seed, np.uint64) * _K[0]))
                 cuts = np.concatenate([[0], np.searchsorted(h, edges), [len(h)]])
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h))])
@@ -80,7 +97,9 @@ class Blocks:
                 found.append(mix(content ^ mix(where)))
                 if len(filled) > differ:
                     break
-                seed += 1
+            else:
+                # every shingle a key of its own: whoever shares one is met
+                found.append(mix(hashes ^ mix(np.full(1, c, np.uint64) * _K[2])))
         return np.concatenate(found) if found else hashes[:0]
 
 
@@ -108,20 +127,31 @@ def _features(width: int, percent: int):
     return run
 
 
-def _sets(width: int):
-    """Shingle sets of the members of families, as bytes; rows that only share the id drop out."""
+def _member_bits(work: Workspace, ids: DataFrame) -> np.ndarray:
+    """Bitmap of `BITS` bits with the hash of every id set: rows without their bit are no members."""
+    places = ids.select(F.pmod(F.xxhash64("first_id"), F.lit(BITS)).alias("p"))
+    words = places.groupBy(F.shiftright("p", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")
+    )
+    bitmap = np.zeros(BITS // 64, np.int64)
+    for row in words.collect():
+        bitmap[row["at"]] = row["bits"]
+    return bitmap.view(np.uint64)
+
+
+def _member_sets(width: int, bitmap):
+    """Shingle sets, as bytes, of the rows whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            kept, raw = [], []
-            wanted = batch.column(0).to_pylist()
-            for row, h in enumerate(shingle_sets(texts_of(batch.column(1)), width)):
-                if _set_id(h) == wanted[row]:
-                    kept.append(row)
-                    raw.append(h.tobytes())
-            some = batch.take(pa.array(kept, pa.int64()))
+            place = batch.column(2).to_numpy().astype(np.uint64)
+            marked = bitmap.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
+            some = batch.filter(pa.array(marked.astype(bool)))
+            sets = list(shingle_sets(texts_of(some.column(1)), width))
             yield pa.RecordBatch.from_arrays(
-                [*some.columns[2:], pa.array(raw, pa.binary())], names=["node", "family", "tile", "tiles", "hashes"]
+                [some.column(0), pa.array(map(_set_id, sets), pa.binary()),
+                 pa.array([h.tobytes() for h in sets], pa.binary())],
+                names=["id", "set_id", "hashes"],
             )
 
     return run
@@ -162,12 +192,12 @@ def one_of_each(
     first = found.where("n_shingles > 0").groupBy("component").agg(F.min(rank).alias("k"))
     alone = found.where("n_shingles = 0").select("id", "text_hash", F.lit(False).alias("once")).distinct()
     stay = first.select("k.id", "k.text_hash", F.lit(True).alias("once")).union(alone)
-    stay = stay.select(F.col("id").alias("_stay_id"), F.col("text_hash").alias("_stay_hash"), F.col("once").alias("_once"))
-    joined = docs.withColumn("_hash", digest).join(
-        stay, docs[id_col].eqNullSafe(F.col("_stay_id")) & (F.col("_hash") == F.col("_stay_hash"))
+    stay = stay.select(F.col("id").alias("__llm_stay_id"), F.col("text_hash").alias("__llm_stay_hash"), F.col("once").alias("__llm_once"))
+    joined = docs.withColumn("__llm_hash", digest).join(
+        stay, docs[id_col].eqNullSafe(F.col("__llm_stay_id")) & (F.col("__llm_hash") == F.col("__llm_stay_hash"))
     )
-    same = Window.partitionBy("_stay_id", "_stay_hash").orderBy("_once")
-    return joined.withColumn("_copy", F.row_number().over(same)).where("_copy = 1 or not _once").select(*docs.columns)
+    same = Window.partitionBy("__llm_stay_id", "__llm_stay_hash").orderBy("__llm_once")
+    return joined.withColumn("__llm_copy", F.row_number().over(same)).where("__llm_copy = 1 or not __llm_once").select(*docs.columns)
 
 
 def components_of(source: DataFrame, width: int, percent: int, *keep: str) -> DataFrame:
@@ -215,11 +245,11 @@ def components_of(source: DataFrame, width: int, percent: int, *keep: str) -> Da
         .select("first_id", "set_id", "node", "family", "tile", "tiles"),
         "tiled",
     )
-    sets = (
-        source.join(tiled, source["id"].eqNullSafe(tiled["first_id"]))
-        .select("set_id", "text", "node", "family", "tile", "tiles")
-        .mapInArrow(_sets(width), "node long, family long, tile int, tiles int, hashes binary")
+    bitmap = spark.sparkContext.broadcast(_member_bits(work, tiled))
+    marked = source.select("id", "text").withColumn("place", F.pmod(F.xxhash64("id"), F.lit(BITS))).mapInArrow(
+        _member_sets(width, bitmap), f"id {id_type}, set_id binary, hashes binary"
     )
+    sets = marked.join(tiled, "set_id").where(F.col("id").eqNullSafe(F.col("first_id")))
     tasks = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
         "node", "family", "tile", "hashes",
         F.least("tile", "other").alias("one"), F.greatest("tile", "other").alias("two"),
