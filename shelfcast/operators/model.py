@@ -12,12 +12,12 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from shelfcast.operators import holidays as holiday_ops
 from shelfcast.operators import weather as weather_ops
-from shelfcast.operators.folds import Fold, assign_folds, check_fold
+from shelfcast.operators.folds import assign_folds, checked, fold_table, integrity
 from shelfcast.operators.forecast import post_process
 from shelfcast.operators.lags import HORIZON
 from shelfcast.operators.mart import CATEGORICAL, feature_columns
@@ -174,7 +174,7 @@ def predict_by_store(models: dict[str, PipelineModel], rows: DataFrame) -> DataF
 
 
 def backtest(
-    mart: DataFrame, folds: Sequence[Fold], stage, without: Sequence[str] = (), horizon: int = HORIZON,
+    mart: DataFrame, folds: Sequence[Row], stage, without: Sequence[str] = (), horizon: int = HORIZON,
     kind: str = "tweedie", max_iter: int = 8,
 ) -> DataFrame:
     """Refit on every fold; validation predictions of all folds with `fold`, `sales` and `prediction`.
@@ -184,22 +184,21 @@ def backtest(
     that later reads do not repeat the fits.
     """
     parts = []
-    for fold in folds:
-        check_fold(fold, horizon)
+    for fold in checked(fold_table(mart.sparkSession, folds), integrity(horizon)):
         train = mart.filter(F.col("date").between(F.lit(fold.train_start), F.lit(fold.train_end)))
         validation = mart.filter(F.col("date").between(F.lit(fold.val_start), F.lit(fold.val_end)))
         model = fit(train, validation, stage, without, kind, max_iter)
         scored = predict(model, validation.filter(F.col("sales").isNotNull())).select(
-            "id", "date", "sales", "prediction", F.lit(fold.index).alias("fold")
+            "id", "date", "sales", "prediction", F.lit(fold.fold).alias("fold")
         )
-        parts.append(stage(scored, f"backtest_fold_{fold.index}"))
+        parts.append(stage(scored, f"backtest_fold_{fold.fold}"))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
 
 
-def backtest_scores(predictions: DataFrame, facts: DataFrame, folds: Sequence[Fold]) -> DataFrame:
+def backtest_scores(predictions: DataFrame, facts: DataFrame, folds: Sequence[Row]) -> DataFrame:
     """Metrics per fold over all facts of the validation window."""
     actual = assign_folds(facts, list(folds), ("validation",)).select("fold", "id", "date", "sales")
     return score(actual, predictions.select("fold", "id", "date", "prediction"), ("fold", "id", "date"), ("fold",))

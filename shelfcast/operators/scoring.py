@@ -115,10 +115,11 @@ def compare_models(scores: DataFrame, reference: str, metric: str = "wmape") ->
 
 
 def metrics_report(actual: DataFrame, preds: DataFrame, total_wrmsse: DataFrame | None = None) -> DataFrame:
-    """All metrics overall and by horizon bucket (1-7, 8-14, 15-21, 22-28)."""
+    """All metrics overall and by horizon bucket (1-7, 8-14, 15-21, 22-28, and `other` for the rest)."""
     h = F.col("horizon")
     bucket = (
-        F.when(h <= 7, "h01_07").when(h <= 14, "h08_14").when(h <= 21, "h15_21").otherwise("h22_28")
+        F.when(h <= 7, "h01_07").when(h <= 14, "h08_14").when(h <= 21, "h15_21").when(h <= 28, "h22_28")
+        .otherwise("other")
     )
     matched = actual.join(preds, ["id", "date"]).withColumn("bucket", bucket)
     report = (

@@ -100,7 +100,8 @@ def future_weather(weather: DataFrame, as_of: date, horizon: int = 28, forecast_
         .withColumn("dayofyear", F.dayofyear("date"))
     )
     forecast = weather.filter(
-        F.col("date").between(
+        # observations of those days are not known when the forecast is made
+        (F.col("source") == "forecast") & F.col("date").between(
             F.date_add(F.lit(as_of), 1), F.date_add(F.lit(as_of), min(forecast_days, horizon))
         )
     ).select(
@@ -109,7 +110,7 @@ def future_weather(weather: DataFrame, as_of: date, horizon: int = 28, forecast_
     known = F.col("t").isNotNull()
     return (
         days.join(forecast, ["state_id", "date"], "left")
-        .join(smoothed_norms(weather), ["state_id", "dayofyear"], "left")
+        .join(smoothed_norms(weather.filter(F.col("date") <= F.lit(as_of))), ["state_id", "dayofyear"], "left")
         .select(
             "state_id", "date", "horizon",
             F.coalesce("t", "temp_norm").alias("temperature_2m_mean"),

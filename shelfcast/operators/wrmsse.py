@@ -127,10 +127,21 @@ def wrmsse_by_series(matched: DataFrame, scale: DataFrame, weight: DataFrame) ->
 
 
 def wrmsse_by_level(matched: DataFrame, scale: DataFrame, weight: DataFrame) -> DataFrame:
+    """Weighted error of each level over the series that can be scored.
+
+    A series without a scale (constant in training) has no scaled error. Weighted ones among them are counted with
+    their weight, and the other weights are scaled up to one, so that they do not count as perfect forecasts.
+    """
+    scored = F.col("rmsse").isNotNull()
+    share = F.coalesce("weight", F.lit(0.0))
     return (
         wrmsse_by_series(matched, scale, weight)
         .groupBy("level")
-        .agg(F.sum(F.col("weight") * F.col("rmsse")).alias("wrmsse"))
+        .agg(
+            ratio(F.sum(F.when(scored, share * F.col("rmsse"))), F.sum(F.when(scored, share))).alias("wrmsse"),
+            F.count_if(~scored & (share > 0)).alias("n_unscored"),
+            F.coalesce(F.sum(F.when(~scored, share)), F.lit(0.0)).alias("weight_unscored"),
+        )
     )
 
 

@@ -22,6 +22,8 @@ from shelfcast.sources.tpch_retail import CATEGORY_OF_DEPARTMENT, COUNTRY, STATE
 Query = Callable[[RetailTables], DataFrame]
 QUERIES: dict[str, Query] = {}
 N_ORIGINS = 6
+#: Days that `history_cut` keeps.
+HISTORY_DAYS = 1200
 
 
 def query(fn: Query) -> Query:
@@ -83,7 +85,9 @@ def day_index_roundtrip(r):
 
 @query
 def history_cut(r):
-    return r.facts.filter(F.col("date") >= F.lit(r.panel_start)).select("id", "date", "sales")
+    """The one query that cuts the history; all others read it whole."""
+    start = sales.history_start(r.last_day, r.first_day, HISTORY_DAYS)
+    return r.facts.filter(F.col("date") >= F.lit(start)).select("id", "date", "sales")
 
 
 @query
@@ -147,7 +151,7 @@ def ft_rolling(r):
 @query
 def ft_lags_min_lag_7(r):
     features = lags.add_rolling(lags.add_lags(r.panel, 7), 7)
-    return features.select("id", "date", *lags.lag_columns(7), "roll_mean_7", "roll_std_28", "dow_mean_8w")
+    return features.select("id", "date", *lags.lag_columns(7), *lags.ROLLING_COLUMNS)
 
 
 @query
@@ -227,7 +231,7 @@ def mart_without_external(r):
 
 @query
 def mart_store_filter(r):
-    return r.mart("train", stores=_first_stores(r, 2)).select(*mart.KEYS, "sales", "dept_roll_mean_28")
+    return r.mart("train", stores=_first_stores(r, 2))
 
 
 @query
@@ -241,9 +245,7 @@ def mart_price_extras(r):
 @query
 def load_mart_window(r):
     start = r.as_of - timedelta(days=27)
-    return tables.load_mart(r.mart("train"), start, r.as_of, _first_stores(r, 1)).select(
-        "id", "date", "sales", "sales_lag_28", "roll_mean_28", "sell_price", "snap"
-    )
+    return tables.load_mart(r.mart("train"), start, r.as_of, _first_stores(r, 1))
 
 
 @query
@@ -271,7 +273,8 @@ def feature_matrix(r):
     found = known.agg(*[F.count(c).alias(c) for c in categorical]).first()
     categorical = [c for c in categorical if found[c]]
     indexed = model.category_index(known, categorical).transform(rows)
-    numeric = [c for c in mart.feature_columns(rows) if c in ("sales_lag_28", "roll_mean_28", "sell_price", "snap")]
+    texts = {name for name, kind in rows.dtypes if kind == "string"}
+    numeric = [c for c in mart.feature_columns(rows) if c not in mart.CATEGORICAL and c not in texts]
     return indexed.select("id", "date", *numeric, *[f"{c}_index" for c in categorical])
 
 
@@ -285,34 +288,26 @@ def lag_audit(r):
 
 @query
 def leakage_guard(r):
-    """On an origin in the past, whose later facts the panel knows."""
-    return quality.leakage_guard(
-        mart_rows_for_guard(r.full_panel(), r.as_of, r.horizon), r.as_of
-    )
-
-
-def mart_rows_for_guard(panel: DataFrame, as_of, horizon: int) -> DataFrame:
-    end = mart.last_day(as_of, "inference", horizon)
-    return panel.filter(F.col("date") <= F.lit(end)).withColumn(
-        "sales", F.when(F.col("date") <= F.lit(as_of), F.col("sales"))
-    )
+    """The inference mart of an origin in the past, whose later facts the panel knows, and the panel itself."""
+    revealed = staged(r.full_panel(), "revealed")
+    cases = {"inference_mart": r.mart("inference", panel=revealed), "revealed_panel": revealed}
+    parts = [quality.leakage_guard(rows, r.as_of).withColumn("case", F.lit(name)) for name, rows in cases.items()]
+    return parts[0].unionByName(parts[1])
 
 
 @query
 def leakage_stability(r):
-    """Later sales are changed; no feature up to a horizon after `as_of` may move."""
+    """Later sales are changed; no feature of the mart may move up to a horizon after `as_of`, on days it knows."""
     before = r.full_panel()
     after = before.withColumn(
         "sales", F.when(F.col("date") > F.lit(r.as_of), F.col("sales") + 1000).otherwise(F.col("sales"))
     )
-    names = [*lags.lag_columns(), *lags.ROLLING_COLUMNS]
-    return quality.leakage_stability(
-        lags.add_rolling(lags.add_lags(before)), lags.add_rolling(lags.add_lags(after)), names, r.as_of
-    )
+    marts = [staged(r.mart(panel=panel, as_of=r.last_day), "mart") for panel in (before, after)]
+    return quality.leakage_stability(*marts, mart.feature_columns(marts[0]), r.as_of)
 
 
-def _folds(r) -> list[folds.Fold]:
-    return folds.rolling_origin(r.panel_start, r.as_of, horizon=r.horizon)
+def _folds(r) -> list:
+    return folds.rolling_origin(r.spark, r.panel_start, r.as_of, r.horizon)
 
 
 def _known(r) -> DataFrame:
@@ -850,7 +845,7 @@ def feature_importance(r):
 @query
 def ablation(r):
     """The same folds without external sources, with each, with both."""
-    rows, cut = _model_mart(r), _folds(r)[:2]
+    rows, cut = _model_mart(r), _folds(r)
     facts = rows.filter(F.col("sales").isNotNull()).select("id", "date", "sales")
     configs = {
         "base": ["weather", "holidays"], "with_weather": ["holidays"], "with_holidays": ["weather"], "all": [],

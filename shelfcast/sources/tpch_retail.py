@@ -56,7 +56,7 @@ def benefit_day(state: str, day_of_month: Column) -> Column:
 class RetailTables:
     """Lazy retail tables over one data directory. Tables with several readers are staged once."""
 
-    def __init__(self, spark: SparkSession, data_dir: str, horizon: int = 28, history_days: int = 1200):
+    def __init__(self, spark: SparkSession, data_dir: str, horizon: int = 28, history_days: int | None = None):
         # Rows per series are bounded by the calendar, so co-locating a join by series alone is safe.
         spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         self.spark, self.data_dir = spark, data_dir.rstrip("/")
@@ -392,7 +392,10 @@ class RetailTables:
 
     # -- mart
 
-    def mart(self, mode: str = "train", external: bool = True, **options) -> DataFrame:
+    def mart(
+        self, mode: str = "train", external: bool = True, panel: DataFrame | None = None, as_of: date | None = None, **options
+    ) -> DataFrame:
+        """The mart at `as_of`; another panel may be given, for instance with the hidden days revealed."""
         # the calendar and the prices do not depend on each other: stage them at the same time
         self.partitions  # needs series and bounds, which both threads read
         with ThreadPoolExecutor(max_workers=2) as pool:
@@ -400,10 +403,10 @@ class RetailTables:
             days, prices = pool.submit(in_thread(lambda: self.days)), pool.submit(in_thread(lambda: self.prices))
             days, prices = days.result(), prices.result()
         return mart_ops.build_mart(
-            self.panel, days, cal.snap_by_state(days), prices,
+            self.panel if panel is None else panel, days, cal.snap_by_state(days), prices,
             self.weather_features() if external else None,
             self.holiday_features() if external else None,
-            self.as_of, mode, self.horizon, stage_all=staged_all, **options,
+            as_of or self.as_of, mode, self.horizon, stage_all=staged_all, **options,
         )
 
 

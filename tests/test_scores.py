@@ -32,16 +32,16 @@ def test_rmsse_needs_a_positive_scale(spark):
     assert row[0] == 1.0 and row[1] is None
 
 
-def test_folds():
-    cut = folds.rolling_origin(date(2013, 1, 1), date(2016, 6, 19), min_train_days=365)
+def test_folds(spark):
+    cut = folds.rolling_origin(spark, date(2013, 1, 1), date(2016, 6, 19), min_train_days=365)
     assert cut[0].val_end == date(2016, 6, 19) and len({f.train_start for f in cut}) == 1
     for newer, older in zip(cut, cut[1:]):
         assert older.val_end < newer.val_start
     assert all(f.gap_days == 28 and f.val_days == 28 and f.origin == f.val_start - timedelta(days=1) for f in cut)
     with pytest.raises(ValueError):
-        folds.rolling_origin(date(2015, 1, 1), date(2016, 6, 19), min_train_days=730)
+        folds.rolling_origin(spark, date(2015, 1, 1), date(2016, 6, 19), min_train_days=730)
     with pytest.raises(ValueError):
-        folds.rolling_origin(date(2010, 1, 1), date(2016, 6, 19), gap_days=7)
+        folds.rolling_origin(spark, date(2010, 1, 1), date(2016, 6, 19), gap_days=7)
 
 
 def test_baselines_match_their_definitions(spark, panel):
