@@ -69,5 +69,40 @@ def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+#: `op1_line_dedup` from the definition: all stretches of lines, no ranks.
+LINE_DEDUP_SQL = f"""
+WITH all_lines AS (
+    SELECT doc_id, UNNEST(string_split(text, chr(10))) AS content, generate_subscripts(string_split(text, chr(10)), 1) AS line
+    FROM documents WHERE text IS NOT NULL),
+counted AS (SELECT *, len(regexp_extract_all(content, '[^\\x20\\x09-\\x0D]+')) AS words FROM all_lines),
+filled AS (
+    SELECT *, ROW_NUMBER() OVER w AS idx, SUM(words) OVER w AS upto FROM counted WHERE words > 0
+    WINDOW w AS (PARTITION BY doc_id ORDER BY line)),
+stretches AS (
+    SELECT a.doc_id, a.idx AS first, b.idx AS last FROM filled a JOIN filled b ON b.doc_id = a.doc_id AND b.idx >= a.idx
+    WHERE b.upto - a.upto + a.words >= {LINE_RUN_WORDS}),
+parts AS (
+    SELECT doc_id, first, MIN(last) AS last FROM stretches GROUP BY ALL
+    UNION SELECT doc_id, MAX(first), last FROM stretches GROUP BY ALL),
+spelled AS (
+    SELECT doc_id, first, last, string_agg(content, chr(10) ORDER BY idx) AS content
+    FROM parts JOIN filled USING (doc_id) WHERE idx BETWEEN first AND last GROUP BY ALL),
+copies AS (
+    SELECT * FROM spelled QUALIFY ROW_NUMBER() OVER (PARTITION BY content ORDER BY doc_id, first) > 1),
+gone AS (SELECT DISTINCT doc_id, idx, line FROM copies JOIN filled USING (doc_id) WHERE idx BETWEEN first AND last),
+gone_lines AS (
+    SELECT doc_id, line FROM gone
+    UNION SELECT c.doc_id, c.line FROM counted c JOIN gone a ON a.doc_id = c.doc_id AND a.line < c.line
+    JOIN gone b ON b.doc_id = c.doc_id AND b.idx = a.idx + 1 AND b.line > c.line WHERE c.words = 0),
+kept AS (
+    SELECT doc_id, COUNT(*) AS n_lines, COUNT(g.line) AS n_deleted,
+           COALESCE(string_agg(content, chr(10) ORDER BY l.line) FILTER (WHERE g.line IS NULL), '') AS text
+    FROM all_lines l LEFT JOIN gone_lines g USING (doc_id, line) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN k.text END AS text, COALESCE(k.n_lines, 0) AS n_lines,
+       COALESCE(k.n_deleted, 0) AS n_deleted
+FROM documents d LEFT JOIN kept k USING (doc_id)"""
+
+
 def statements() -> dict[str, str]:
-    return {}
+    """SQL for the one query that SQL expresses at the speed of a check; the others are tested against brute force."""
+    return {"op1_line_dedup": LINE_DEDUP_SQL}
