@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.sources.storage import publish
+from shelfcast.sources.storage import publish, staged
 
 COLUMNS = (
     "id", "item_id", "store_id", "date", "horizon", "prediction", "model_version", "run_id", "as_of",
@@ -99,11 +99,15 @@ def sanity_checks(
 
 
 def publish_checked(preds: DataFrame, recent_sales: DataFrame, path: str, horizon: int = 28) -> None:
-    """Publish by origin if all checks pass, otherwise raise and leave the table alone."""
+    """Publish by origin if all checks pass, otherwise raise and leave the table alone.
+
+    The forecast is written once before: what is published is what was checked.
+    """
+    preds = staged(preds.select(*COLUMNS).withColumn("created_at", F.current_timestamp()), "checked_forecast")
     failed = [r.check_name for r in sanity_checks(preds, recent_sales, horizon).filter("not passed").collect()]
     if failed:
         raise ForecastRejected(f"forecast failed: {', '.join(sorted(failed))}")
-    publish(preds.select(*COLUMNS).withColumn("created_at", F.current_timestamp()), path)
+    publish(preds, path)
 
 
 def submission(preds: DataFrame, horizon: int = 28) -> DataFrame:

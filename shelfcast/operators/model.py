@@ -1,16 +1,19 @@
 """Tweedie demand models on the mart: preparation, fitting, prediction, backtest, importance.
 
 A model is a fitted `PipelineModel`: category labels and the order of the features are stored in it, so
-training and prediction cannot disagree. Fitting aggregates gradients on the executors; only coefficients and
-category labels reach the driver.
+training and prediction cannot disagree. Fitting aggregates on the executors; category labels, coefficients and the
+regression's matrix of inputs (bounded, as categories with many labels are hashed) reach the driver.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    FeatureHasher, OneHotEncoder, OneHotEncoderModel, SQLTransformer, StringIndexer, VectorAssembler,
+)
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -23,6 +26,10 @@ from shelfcast.operators.lags import HORIZON
 from shelfcast.operators.mart import CATEGORICAL, feature_columns
 from shelfcast.operators.scoring import score
 
+#: Iterations of the regression, which says so when they are not enough, and trees, which stop early.
+MAX_ITER = {"tweedie": 50, "trees": 200}
+#: Categories with more labels than this are hashed into `HASHED` inputs.
+MAX_LABELS, HASHED = 200, 512
 EXTERNAL = {"weather": set(weather_ops.FEATURES), "holidays": set(holiday_ops.FEATURES)}
 
 
@@ -63,9 +70,12 @@ def preparation(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
     stats = {
         row.pos: row
         for row in train.select(
-            F.posexplode(F.array(*[F.col(c).cast("double") for c in numeric])).alias("pos", "value")
+            F.xxhash64("id", "date").alias("row"),
+            F.posexplode(F.array(*[F.col(c).cast("double") for c in numeric])).alias("pos", "value"),
         ).groupBy("pos").agg(
-            F.min(value).alias("lo"), F.max(value).alias("hi"), F.count_if(value.isNull()).alias("nulls")
+            F.min(value).alias("lo"), F.max(value).alias("hi"), F.count_if(value.isNull()).alias("nulls"),
+            # which rows are missing, whatever their order
+            F.bit_xor(F.when(value.isNull(), F.col("row"))).alias("pattern"),
         ).collect()
     }
     used, flags, seen = [], [], set()
@@ -74,13 +84,19 @@ def preparation(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
             continue
         used.append(c)
         # columns that are missing on the same rows need one flag only
-        if stats[pos].nulls and stats[pos].nulls not in seen:
-            seen.add(stats[pos].nulls)
+        if stats[pos].nulls and (stats[pos].nulls, stats[pos].pattern) not in seen:
+            seen.add((stats[pos].nulls, stats[pos].pattern))
             flags.append(c)
     distinct = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first() if categorical else {}
-    cats = [c for c in categorical if distinct[c] > 1]
+    varied = [c for c in categorical if distinct[c] > 1]
+    cats = [c for c in varied if distinct[c] <= MAX_LABELS]
+    hashed = [c for c in varied if distinct[c] > MAX_LABELS]
     inputs = [f"{c}_in" for c in used] + [f"{c}_missing" for c in flags]
     stages = [SQLTransformer(statement=_numeric_sql(used, flags))]
+    for c in hashed:
+        # a column of its own size for each label would outgrow the solver: labels share `HASHED` of them
+        stages.append(FeatureHasher(inputCols=[c], outputCol=f"{c}_hash", numFeatures=HASHED))
+    inputs += [f"{c}_hash" for c in hashed]
     if cats:
         stages.append(StringIndexer(
             inputCols=cats, outputCols=[f"{c}_index" for c in cats], handleInvalid="keep",
@@ -112,7 +128,7 @@ def estimator(kind: str, max_iter: int, variance_power: float = 1.1):
 
 def fit(
     train: DataFrame, validation: DataFrame, stage, without: Sequence[str] = (), kind: str = "tweedie",
-    max_iter: int = 8,
+    max_iter: int | None = None,
 ) -> PipelineModel:
     """One model over all stores. An empty validation window is an error.
 
@@ -134,7 +150,10 @@ def fit(
     vectors = prepared.transform(rows).select(
         (F.col("sales") / F.lit(unit)).alias("label"), "features", "is_validation"
     )
-    fitted = estimator(kind, max_iter).fit(stage(vectors, "training_vectors"))
+    limit = max_iter or MAX_ITER[kind]
+    fitted = estimator(kind, limit).fit(stage(vectors, "training_vectors"))
+    if kind == "tweedie" and fitted.summary.numIterations >= limit:
+        warnings.warn(f"the regression has not converged in {limit} iterations", stacklevel=2)
     rescale = SQLTransformer(statement=f"select *, prediction * {unit!r}D as predicted_sales from __THIS__")
     return PipelineModel(stages=[*prepared.stages, fitted, rescale])
 
@@ -175,7 +194,7 @@ def predict_by_store(models: dict[str, PipelineModel], rows: DataFrame) -> DataF
 
 def backtest(
     mart: DataFrame, folds: Sequence[Row], stage, without: Sequence[str] = (), horizon: int = HORIZON,
-    kind: str = "tweedie", max_iter: int = 8,
+    kind: str = "tweedie", max_iter: int | None = None,
 ) -> DataFrame:
     """Refit on every fold; validation predictions of all folds with `fold`, `sales` and `prediction`.
 
@@ -232,10 +251,12 @@ def feature_importance(models: Sequence[PipelineModel], spark) -> DataFrame:
 
 
 def _input_widths(model: PipelineModel) -> dict[str, int]:
-    """Vector lengths of the one-hot inputs; all others are single numbers."""
-    return {
+    """Vector lengths of the one-hot and hashed inputs; all others are single numbers."""
+    widths = {
         name: size - 1
         for part in model.stages
         if isinstance(part, OneHotEncoderModel)
         for name, size in zip(part.getOutputCols(), part.categorySizes)
     }
+    hashers = [part for part in model.stages if isinstance(part, FeatureHasher)]
+    return widths | {part.getOutputCol(): part.getNumFeatures() for part in hashers}

@@ -101,6 +101,13 @@ def beats_baseline(scores: DataFrame, baseline: DataFrame, metric="wmape", min_i
     )
 
 
+def backtest_report(scores: DataFrame, baseline: DataFrame, counts: DataFrame, metric: str = "wmape") -> DataFrame:
+    """Scores by fold beside the baseline's on the same fold, the gain in percent, and the rows of both periods."""
+    beside = baseline.select("fold", F.col(metric).alias(f"baseline_{metric}"))
+    gain = F.round((1 - ratio(F.col(metric), F.col(f"baseline_{metric}"))) * 100, 4)
+    return scores.join(beside, "fold").withColumn("gain_pct", gain).join(counts, "fold")
+
+
 def compare_models(scores: DataFrame, reference: str, metric: str = "wmape") -> DataFrame:
     """Configurations on the same folds: mean, deviation and difference to the reference one in percent.
 

@@ -547,9 +547,7 @@ def publish_accuracy_idempotent(r):
     accuracy = staged(_accuracy(r), "accuracy")
     storage.publish(accuracy, path)
     storage.publish(accuracy, path)
-    return r.spark.read.schema(accuracy.schema).parquet(path).groupBy("as_of", "level").agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
+    return r.spark.read.schema(accuracy.schema).parquet(path).select(accuracy.columns)
 
 
 @query
@@ -831,9 +829,34 @@ def forecast_publish(r):
 
 @query
 def backtest_by_fold(r):
+    """The model beside the weekday mean on the same folds, with the rows it was fitted and judged on."""
+    return _backtest(r)
+
+
+def _backtest(r) -> DataFrame:
     rows, cut = _model_mart(r), _folds(r)
-    preds = model.backtest(rows, cut, staged)
-    return model.backtest_scores(preds, rows.filter(F.col("sales").isNotNull()).select("id", "date", "sales"), cut)
+    known = rows.filter(F.col("sales").isNotNull()).select("id", "date", "sales")
+    scores = model.backtest_scores(model.backtest(rows, cut, staged), known, cut)
+    baseline = _baseline_scores(r).filter(F.col("baseline") == "dow_mean")
+    return scoring.backtest_report(scores, baseline, folds.rows_by_period(known, cut))
+
+
+@query
+def model_beats_baseline(r):
+    """The verdict on the fitted model: its mean over the folds against the baseline's."""
+    report = staged(_backtest(r), "report")
+    return scoring.beats_baseline(report, report.select("fold", F.col("baseline_wmape").alias("wmape")))
+
+
+@query
+def model_by_store(r):
+    """One model a store for the first two stores, each store's rows predicted by its own."""
+    rows, fold, stores = _model_mart(r), _folds(r)[0], _first_stores(r, 2)
+    train = rows.filter(F.col("date").between(F.lit(fold.train_start), F.lit(fold.train_end)))
+    validation = rows.filter(F.col("date").between(F.lit(fold.val_start), F.lit(fold.val_end)))
+    scored = staged(model.predict_by_store(model.fit_by_store(train, validation, stores, staged), validation).select(
+        "store_id", "sales", "prediction"), "scored")
+    return scored.groupBy("store_id").agg(*m.simple_metrics(), F.count(F.lit(1)).alias("n_rows"))
 
 
 @query

@@ -250,3 +250,30 @@ def test_unseen_categories_share_the_last_index(spark):
     fitted = model.category_index(train, ["c"])
     rows = fitted.transform(spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "c string")).collect()
     assert [r.c_index for r in rows] == [0.0, 1.0, 2.0, 2.0]
+
+
+def test_many_items_do_not_outgrow_the_solver(spark):
+    rows = spark.range(5000).select(
+        F.concat(F.lit("i"), "id").alias("id"), F.lit(ORIGIN).alias("date"), F.concat(F.lit("item"), "id").alias("item_id"),
+        (F.col("id") % 3).cast("string").alias("state_id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("a"),
+        F.when(F.col("id") % 2 == 1, F.col("id")).alias("b"), F.when(F.col("id") % 2 == 1, F.lit(1) + F.col("id")).alias("c"),
+    )
+    for kind in ("tweedie", "trees"):
+        prepared = model.preparation(rows, ["a", "b", "c"], ["item_id", "state_id"], kind).fit(rows)
+        names = prepared.stages[-1].getInputCols()
+        # a and b are missing on opposite rows, b and c on the same ones
+        assert [n for n in names if n.endswith("_missing")] == ["a_missing", "b_missing"]
+        assert prepared.transform(rows).first()["features"].size < 1024
+
+
+def test_series_without_a_scale_is_not_a_perfect_forecast(spark):
+    def series(item, sales, prediction):
+        return [(item, "D", "C", "S", "X", ORIGIN + timedelta(days=k), sales[k], prediction[k]) for k in range(4)]
+
+    schema = "item_id string, dept_id string, cat_id string, store_id string, state_id string, date date, sales long, prediction double"
+    rows = spark.createDataFrame(series("a", [5] * 4, [500.0] * 4) + series("b", [1, 2, 1, 2], [1.0, 2.0, 1.0, 2.0]), schema)
+    train = rows.drop("prediction").withColumn("sell_price", F.lit(1.0))
+    scale, weight = wrmsse.scales(train), wrmsse.weights(train, ORIGIN + timedelta(days=3))
+    level = {x["level"]: x for x in wrmsse.wrmsse_by_level(rows, scale, weight).collect()}[12]
+    assert (level["n_unscored"], level["wrmsse"]) == (1, 0.0)
+    assert level["weight_unscored"] == pytest.approx(20 / 26)
