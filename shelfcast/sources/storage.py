@@ -15,10 +15,6 @@ from pyspark.sql.types import StructType
 
 from shelfcast.operators.sales import SERIES_COLUMNS
 
-CALENDAR_SCHEMA = (
-    "date date, wm_yr_wk int, weekday string, wday tinyint, month tinyint, year smallint, d string, "
-    "event_name_1 string, event_type_1 string, event_name_2 string, event_type_2 string"
-)
 PRICES_SCHEMA = "store_id string, item_id string, wm_yr_wk int, sell_price double"
 
 _local_dirs: dict[str, str] = {}
@@ -83,20 +79,12 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, schema
 
 
 def write_layer(df: DataFrame, path: str, partition_by=()) -> None:
-    """Replace a table. Rows are clustered by the partition columns first, so that each
-    partition is written by few tasks; a random second key keeps a large store from landing in one."""
-    writer = df.write.mode("overwrite").option("compression", "zstd")
+    """Replace a table. Rows are clustered by the partition columns first, so that each partition is
+    written by few tasks; Spark splits a large partition, and joins small ones, by their size when it runs."""
     if partition_by:
-        spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in partition_by]), F.lit(16))
-        writer = (
-            df.withColumn("_spread", spread)
-            .repartition(*partition_by, "_spread")
-            .drop("_spread")
-            .write.mode("overwrite")
-            .option("compression", "zstd")
-            .partitionBy(*partition_by)
-        )
-    writer.parquet(path)
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = df.write.mode("overwrite").option("compression", "zstd")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def publish(df: DataFrame, path: str, partition_by: str = "as_of") -> None:

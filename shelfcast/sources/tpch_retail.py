@@ -97,7 +97,9 @@ class RetailTables:
 
     @cached_property
     def bounds(self) -> tuple[date, date]:
-        row = self.facts.agg(F.min("date"), F.max("date")).first()
+        """First and last day of the line items, from a scan of one column."""
+        day = F.to_date("l_shipdate")
+        row = self.table("lineitem").agg(F.min(day), F.max(day)).first()
         return row[0], row[1]
 
     @property
