@@ -24,12 +24,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import Workspace
 
 DOC = ["id", "text_hash"]
+#: Size of the bitmap that tells documents with runs from most others; its size bounds what one task collects.
+BITS = 1 << 24
 
 
 def _lines(source: DataFrame, min_words: int) -> DataFrame:
@@ -135,6 +137,17 @@ def repeated_runs(work: Workspace, source: DataFrame, min_words: int) -> DataFra
     return runs
 
 
+def _bitmap(keys: DataFrame, place: Column) -> DataFrame:
+    """One row with an array of `BITS` / 64 numbers, in which the bit at the place of every key is set."""
+    words = keys.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")
+    )
+    every = keys.sparkSession.range(BITS // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits"))
+    filled = words.unionByName(every).groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    in_order = F.array_sort(F.collect_list(F.struct("at", "bits")))
+    return filled.agg(F.transform(in_order, lambda w: w["bits"]).alias("words"))
+
+
 def delete_later_copies(
     docs: DataFrame, min_words: int, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -146,8 +159,15 @@ def delete_later_copies(
         *([F.struct(*(docs[c] for c in keep)).alias("kept")] if keep else []),
     )
     runs = repeated_runs(work, source.select("id", "text", "text_hash"), min_words)
-    runs = runs.select(F.col("id").alias("r_id"), F.col("text_hash").alias("r_hash"), "runs")
-    joined = source.join(runs, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash")), "left")
+    # documents without runs, most of them, stay where they are; only the others are shuffled to their runs
+    place = F.pmod(F.xxhash64("id", "text_hash"), F.lit(BITS))
+    word = F.element_at(_bitmap(runs, place).scalar(), (F.shiftright(place, 6) + 1).cast("int"))
+    marked = F.coalesce(F.getbit(word, (place % 64).cast("int")) == 1, F.lit(False))
+    keyed = runs.select(F.col("id").alias("r_id"), F.col("text_hash").alias("r_hash"), "runs")
+    found = source.where(marked).join(
+        keyed, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("text_hash") == F.col("r_hash")), "left"
+    ).drop("r_id", "r_hash")
+    joined = found.unionByName(source.where(~marked).withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType)))
     lines = F.split("text", "\n")
     stay = F.filter(lines, lambda _, i: ~F.exists("runs", lambda r: (i >= r["start"]) & (i <= r["stop"])))
     text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
