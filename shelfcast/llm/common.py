@@ -89,6 +89,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = BATCH_
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+            # what the last slice took goes back to the system: other workers share the machine
+            pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:

@@ -38,7 +38,9 @@ from shelfcast.llm.count_tree import links
 from shelfcast.llm.shingles import mix, shingle_sets
 
 #: Shingles of a tile, which is one side of what a task compares.
-TILE = 3_000_000
+TILE = 1_000_000
+#: Bytes of text whose words and shingles a task holds at once.
+SLICE = 3 << 20
 #: Size of the bitmap that keeps rows outside all families from being shuffled; when it fills up, more rows are.
 BITS = 1 << 25
 #: Cuts tried until one fills enough blocks.
@@ -110,7 +112,7 @@ def _set_id(hashes: np.ndarray) -> bytes | None:
 def _features(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(percent)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             sizes, ids, keys = [], [], []
             for h in shingle_sets(texts_of(batch.column(1)), width):
                 sizes.append(len(h))
@@ -143,7 +145,7 @@ def _member_sets(width: int, bitmap):
     """Shingle sets, as bytes, of the rows whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             place = batch.column(2).to_numpy().astype(np.uint64)
             marked = bitmap.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
             some = batch.filter(pa.array(marked.astype(bool)))
