@@ -44,13 +44,13 @@ class Tree:
         self.thresholds: list[float] = []
         self.children: list[tuple[int, int]] = []
         self.leaf_rows: list[np.ndarray] = []
-        zero = np.zeros(points.shape[1])
+        zero = np.zeros(points.shape[1], np.float32)
 
         def build(rows: np.ndarray) -> int:
             at = len(self.children)
             self.children.append((-1, -1))
             direction = random.standard_normal(points.shape[1])
-            direction /= np.linalg.norm(direction)
+            direction = (direction / np.linalg.norm(direction)).astype(np.float32)
             values = points[rows] @ direction
             threshold = float(np.median(values)) if len(rows) else 0.0
             left = values <= threshold
@@ -225,7 +225,9 @@ def nearest(
     )
     n = classes.count()
     sample = classes.select("vector").sample(min(1.0, SAMPLE / n), seed=1).limit(SAMPLE) if n > SAMPLE else classes
-    points = spark.sparkContext.broadcast(matrix(sample.select("vector").toArrow().column(0).combine_chunks()))
+    taken = sample.select("vector").toArrow().column(0).combine_chunks()
+    points = spark.sparkContext.broadcast(taken.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(taken), -1))
+    del taken
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,8 +235,9 @@ def nearest(
                 raw = pickle.dumps(Tree(points.value, 1000 + t))
                 yield pa.RecordBatch.from_arrays([pa.array([t]), pa.array([raw], pa.binary())], names=["t", "tree"])
 
-    planted = spark.range(0, TREES, 1, TREES).mapInArrow(plant, "t long, tree binary").orderBy("t").collect()
-    trees = [pickle.loads(bytes(r["tree"])) for r in planted]
+    planted = spark.range(0, TREES, 1, TREES).mapInArrow(plant, "t long, tree binary").collect()
+    trees = [pickle.loads(bytes(r["tree"])) for r in sorted(planted, key=lambda r: r["t"])]
+    del planted
     sampled = len(points.value)
     parts = [_parts(t, n, sampled) for t in trees]
     forest = spark.sparkContext.broadcast((trees, parts, max(math.ceil(SHARE * sampled), min(sampled, 4 * k)), sampled))
