@@ -6,6 +6,8 @@
    filled blocks for its own size class and for the smaller one whose members it may match. Where too few blocks
    are filled for the argument, the set also emits the keys of a further cut, and so on, and of every shingle after
    the last; no pair is lost.
+   The first cut leaves out shingles that are common in a sample of the rows, such as those of passages that many
+   documents share: two similar sets differ in no more of the others, so the argument holds for those alone.
 3. Keys met by one set alone are dropped by a map-side combined aggregate. Each set is paired with the first of its
    key, not with all others; the components of these pairs are families, and every link lies within a family.
 4. A family's sets go into a count-vector R-tree (see `count_tree`), which bounds overlaps by summed coordinate
@@ -43,11 +45,17 @@ TILE = 1_000_000
 SLICE = 3 << 20
 #: Size of the bitmap that keeps rows outside all families from being shuffled; when it fills up, more rows are.
 BITS = 1 << 25
+#: Shingles held by `COMMON_ROWS` or more of about `SAMPLE_ROWS` rows, a tenth of all at most, are left out of the first
+#: cut; `COMMON` of them at most.
+COMMON, COMMON_ROWS, SAMPLE_ROWS = 1 << 18, 4, 20_000
 #: Cuts tried until one fills enough blocks.
 SEEDS = 8
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
+_NONE = np.zeros(0, np.uint64)
+
+
 class Blocks:
     """Block keys of a set for the size classes in which it may find a partner."""
 
@@ -83,13 +91,17 @@ class Blocks:
         least = bisect.bisect_right(self.bounds, -(-size * self.percent // 100)) - 1
         return [c for c in range(max(least, 0), own + 1)]
 
-    def keys(self, hashes: np.ndarray) -> np.ndarray:
+    def keys(self, hashes: np.ndarray, common: np.ndarray = _NONE) -> np.ndarray:
+        """The first cut leaves out the shingles in `common` (sorted), which tell least; further ones take all."""
+        rare = hashes
+        if len(common):
+            rare = hashes[common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] != hashes]
         found = []
         for c in self.classes(len(hashes)):
             differ, blocks = self.cut(c)
             edges = (np.arange(1, blocks, dtype=np.float64) * (2.0**64 / blocks)).astype(np.uint64)
             for seed in range(SEEDS):
-                h = hashes if not seed else np.sort(mix(hashes + np.full(1, seed, np.uint64) * _K[0]))
+                h = rare if not seed else np.sort(mix(hashes + np.full(1, seed, np.uint64) * _K[0]))
                 cuts = np.concatenate([[0], np.searchsorted(h, edges), [len(h)]])
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h))])
                 filled = np.flatnonzero(cuts[1:] > cuts[:-1])
@@ -109,7 +121,24 @@ def _set_id(hashes: np.ndarray) -> bytes | None:
     return hashlib.md5(hashes.tobytes()).digest() if len(hashes) else None
 
 
-def _features(width: int, percent: int):
+def _common_shingles(source: DataFrame, width: int) -> np.ndarray:
+    """Shingles that many rows of a sample hold: passages and boilerplate, in which a block tells little.
+
+    They only decide how many unrelated sets meet, never the result.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text=0, limit=SLICE):
+            hashes = np.concatenate([_NONE, *shingle_sets(texts_of(batch.column(0)), width)])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["h"])
+
+    rows = source.count()
+    some = source.select("text").sample(min(0.1, SAMPLE_ROWS / max(rows, 1)), seed=13)
+    counted = some.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= COMMON_ROWS)
+    taken = counted.orderBy(F.desc("count"), "h").limit(COMMON).select("h").toArrow().column(0).to_numpy()
+    return np.sort(taken.astype(np.int64).view(np.uint64))
+
+
+def _features(width: int, percent: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(percent)
         for batch in slices(batches, limit=SLICE):
@@ -117,7 +146,7 @@ def _features(width: int, percent: int):
             for h in shingle_sets(texts_of(batch.column(1)), width):
                 sizes.append(len(h))
                 ids.append(_set_id(h))
-                keys.append(blocks.keys(h))
+                keys.append(blocks.keys(h, common.value))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
             flat = np.concatenate(keys).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -194,12 +223,15 @@ def one_of_each(
     first = found.where("n_shingles > 0").groupBy("component").agg(F.min(rank).alias("k"))
     alone = found.where("n_shingles = 0").select("id", "text_hash", F.lit(False).alias("once")).distinct()
     stay = first.select("k.id", "k.text_hash", F.lit(True).alias("once")).union(alone)
-    stay = stay.select(F.col("id").alias("__llm_stay_id"), F.col("text_hash").alias("__llm_stay_hash"), F.col("once").alias("__llm_once"))
+    stay = stay.select(
+        F.col("id").alias("__llm_stay_id"), F.col("text_hash").alias("__llm_stay_hash"), F.col("once").alias("__llm_once")
+    )
     joined = docs.withColumn("__llm_hash", digest).join(
         stay, docs[id_col].eqNullSafe(F.col("__llm_stay_id")) & (F.col("__llm_hash") == F.col("__llm_stay_hash"))
     )
     same = Window.partitionBy("__llm_stay_id", "__llm_stay_hash").orderBy("__llm_once")
-    return joined.withColumn("__llm_copy", F.row_number().over(same)).where("__llm_copy = 1 or not __llm_once").select(*docs.columns)
+    numbered = joined.withColumn("__llm_copy", F.row_number().over(same))
+    return numbered.where("__llm_copy = 1 or not __llm_once").select(*docs.columns)
 
 
 def components_of(source: DataFrame, width: int, percent: int, *keep: str) -> DataFrame:
@@ -211,8 +243,12 @@ def components_of(source: DataFrame, width: int, percent: int, *keep: str) -> Da
     rest = "".join(f", {f.name} {f.dataType.simpleString()}" for f in source.schema[2:])
     id_type = source.schema[0].dataType.simpleString()
 
+    common = spark.sparkContext.broadcast(_common_shingles(source, width))
     features = work.keep(
-        source.mapInArrow(_features(width, percent), f"id {id_type}{rest}, n long, set_id binary, keys array<long>"), "features"
+        source.mapInArrow(
+            _features(width, percent, common), f"id {id_type}{rest}, n long, set_id binary, keys array<long>"
+        ),
+        "features",
     )
     classes = work.keep(
         features.where("n > 0").groupBy("set_id").agg(F.min("id").alias("first_id"), F.first("n").alias("n"))
