@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -180,6 +181,28 @@ def test_contexts_stay_inside_words():
     assert (hashes[-1, 4:6] != hashes[-1, :2]).any()
 
 
+def test_pairs_have_one_key(spark):
+    offsets, tokens, before, n_bytes = lm_scoring.sequence(pa.array(["b a  b", "", " a"]))
+    assert offsets.tolist() == [0, 4, 5, 7] and n_bytes.tolist() == [7, 1, 3]
+    a, b, end = tokens[1], tokens[0], lm_scoring.END_HASH
+    assert tokens.tolist() == [b, a, b, end, end, a, end] and before.tolist() == [end, b, a, b, end, end, a]
+    pairs = [(int(x), int(y)) for x, y in zip(before.view(np.int64), tokens.view(np.int64))]
+    keys = rows_of(spark.createDataFrame(pairs, "a long, b long").select(lm_scoring._key("a", "b")))
+    assert [k for (k,) in keys] == lm_scoring.pair_key(before, tokens).tolist()
+
+
+def test_word_order_counts(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SAMPLE_TOKENS", 4096)
+    text = "the old ship left a quiet harbour before dawn"
+    shuffled = " ".join(sorted(text.split()))
+    rows = [(i, text, False) for i in range(20)] + [(30, text, True), (31, shuffled, True)]
+    for frequent in (0, 1 << 15):
+        monkeypatch.setattr(lm_scoring, "FREQUENT", frequent)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+        scores = dict(rows_of(lm_scoring.score(docs, F.col("held")), "doc_id", "score"))
+        assert scores[30] > scores[31] + 5
+
+
 def base_scores(rows, parts):
     tokens = {k: [*(t or "").encode().lower().split(), "end"] for k, (_, t) in enumerate(rows)}
     counts = Counter(x for k, (i, _) in enumerate(rows) if not held_out(i, parts) for x in tokens[k])
