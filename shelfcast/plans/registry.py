@@ -689,8 +689,12 @@ def calendar_gaps_by_series(r):
 # ---------------------------------------------------------------- read side
 
 
+def _stores(r) -> list[str]:
+    return [row.store_id for row in r.series.select("store_id").distinct().orderBy("store_id").collect()]
+
+
 def _first_stores(r, n: int) -> list[str]:
-    return [row.store_id for row in r.series.select("store_id").distinct().orderBy("store_id").limit(n).collect()]
+    return _stores(r)[:n]
 
 
 def _first_store(r) -> str:
@@ -850,8 +854,8 @@ def model_beats_baseline(r):
 
 @query
 def model_by_store(r):
-    """One model a store for the first two stores, each store's rows predicted by its own."""
-    rows, fold, stores = _model_mart(r), _folds(r)[0], _first_stores(r, 2)
+    """One model a store for all stores, each store's rows predicted by its own."""
+    rows, fold, stores = _model_mart(r), _folds(r)[0], _stores(r)
     train = rows.filter(F.col("date").between(F.lit(fold.train_start), F.lit(fold.train_end)))
     validation = rows.filter(F.col("date").between(F.lit(fold.val_start), F.lit(fold.val_end)))
     scored = staged(model.predict_by_store(model.fit_by_store(train, validation, stores, staged), validation).select(

@@ -245,6 +245,15 @@ def test_models_per_store_and_early_stopping(spark, panel):
         model.fit(train, valid.limit(0), storage.staged)
 
 
+def test_every_store_has_a_model(spark):
+    from __spark_entry__ import queries
+
+    data = "/root/testdata/sf0.001"
+    stores = spark.read.parquet(f"{data}/supplier.parquet").select("s_nationkey").distinct().count()
+    rows = queries()["model_by_store"](spark, data).collect()
+    assert len({row.store_id for row in rows}) == len(rows) == stores > 2 and all(row.n_rows for row in rows)
+
+
 def test_unseen_categories_share_the_last_index(spark):
     train = spark.createDataFrame([("b",), ("a",), ("b",)], "c string")
     fitted = model.category_index(train, ["c"])
