@@ -105,3 +105,12 @@ def test_nearest_with_few_candidates(spark):
     assert sorted((q, r, v) for q, r, v, _ in found) == [(0, 1, 1), (0, 2, 2)]
     assert rows_of(ann.nearest(spark.createDataFrame([], SCHEMA), F.col("vec_id") == 0, k=10)) == []
     assert rows_of(ann.nearest(df, F.col("vec_id") == 9, k=10)) == []
+
+
+def test_pairs_at_the_threshold_are_found():
+    r = np.random.default_rng(4)
+    a, b = (embedding_dups.units(r.standard_normal((20_000, 32))) for _ in range(2))
+    b = embedding_dups.units(b - (a * b).sum(axis=1, keepdims=True) * a)
+    b = 0.9 * a + np.sqrt(1 - 0.81) * b
+    tables = embedding_dups.Tables(32, 10_000, 0.9)
+    assert (tables.keys(a) == tables.keys(b)).any(axis=1).mean() >= 0.998
