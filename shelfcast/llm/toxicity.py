@@ -101,14 +101,17 @@ class Composed:
 
     def clause(self, symbols: list[tuple[int, int, float]]) -> float:
         """Weight of a clause; symbols are (place, tag, weight), places between them hold other words."""
-        state, at, total = 0, None, 0.0
-        for place, tag, weight in symbols:
+        return sum(weight * factor for (_, _, weight), factor in zip(symbols, self.factors(symbols), strict=True))
+
+    def factors(self, symbols: list[tuple[int, int, float]]) -> list[float]:
+        """What the weight of each symbol is multiplied with where it stands; 0 for others than insults and threats."""
+        state, at, found = 0, None, []
+        for place, tag, _ in symbols:
             for _ in range(min(place - at - 1, self.longest_memory) if at is not None else 0):
                 state = self.next[state][OTHER]
-            if tag in (INSULT, THREAT):
-                total += weight * self.factor[state][tag]
+            found.append(self.factor[state][tag] if tag in (INSULT, THREAT) else 0.0)
             state, at = self.next[state][tag], place
-        return total
+        return found
 
 
 def grammar() -> Composed:
@@ -171,13 +174,19 @@ def features(texts: pa.Array, lexicon: Lexicon, machine: Composed) -> np.ndarray
         clause = np.concatenate([[0], np.cumsum(ends[index[a:b]])[:-1]])
         some = np.flatnonzero(tags[a:b] != OTHER)
         clauses: dict[int, list] = {}
-        first = np.zeros(b - a, bool)
-        first[np.unique(index[a:b], return_index=True)[1]] = True
         for place, c in zip(some.tolist(), clause[some].tolist(), strict=True):
-            # a word weighs once in a text: boilerplate repeats a line, it does not make it worse
-            weight = float(weights[a + place]) if first[place] else 0.0
-            clauses.setdefault(c, []).append((place, int(tags[a + place]), weight))
-        scores = [s for s in map(machine.clause, clauses.values()) if s > 0]
+            clauses.setdefault(c, []).append((place, int(tags[a + place]), float(weights[a + place])))
+        # a word weighs once in a text, where it weighs most: boilerplate repeats a line, it does not make it worse
+        most: dict[int, tuple[float, int]] = {}
+        for c, symbols in clauses.items():
+            for (place, _, weight), factor in zip(symbols, machine.factors(symbols), strict=True):
+                word = int(index[a + place])
+                if weight * factor > most.get(word, (0.0, c))[0]:
+                    most[word] = weight * factor, c
+        sums = dict.fromkeys(clauses, 0.0)
+        for weight, c in most.values():
+            sums[c] += weight
+        scores = [s for s in sums.values() if s > 0]
         if scores:
             out[row] = np.log1p([sum(scores), max(scores), len(scores), 100 * sum(scores) / (b - a + 20)])
     return out

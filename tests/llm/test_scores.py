@@ -40,6 +40,13 @@ def test_clauses_compose():
     assert machine.clause([]) == 0
 
 
+def test_a_word_weighs_where_it_weighs_most():
+    texts = ["he said that trash is a word. you trash", "you trash now. he said that trash is", "you trash", "you trash now. you trash"]
+    x = toxicity.features(pa.array([*texts, "he said that trash is a word"]), toxicity.Lexicon({"trash": 3.0}), toxicity.grammar())
+    assert x[:4, :3] == pytest.approx(np.tile(x[2, :3], (4, 1)))
+    assert x[0, 1] > x[4, 1] > 0
+
+
 def test_stems_are_the_narrowest_that_serve():
     toxic = {"tra": 50, "tras": 50, "trash": 50, "veq": 40, "vequ": 40, "vequa": 12, "the": 60}
     clean = {"tra": 0, "veq": 0, "the": 900}
