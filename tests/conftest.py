@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import date, timedelta
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import SparkSession
@@ -10,8 +10,6 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-ORIGIN = date(2015, 1, 1)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -29,15 +27,10 @@ def spark():
     session.stop()
 
 
-def sales_of(series: int, day: int) -> int:
-    """Known demand with zeros, a weekly shape, and a late start of the odd series."""
-    if series % 2 and day < 100:
-        return 0
-    return ((day * (series + 3)) % 11) * (1 if (day + series) % 3 else 0) + (2 if day % 7 >= 5 else 0)
-
-
 @pytest.fixture(scope="session")
 def panel_rows():
+    from panel_rows import ORIGIN, sales_of
+
     rows = []
     for k in range(4):
         item, store = f"I_{k % 2}", f"S_{k // 2}"

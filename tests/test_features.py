@@ -4,7 +4,7 @@ from datetime import date, timedelta
 
 import numpy as np
 import pytest
-from conftest import ORIGIN, sales_of
+from panel_rows import ORIGIN, sales_of
 from pyspark.sql import functions as F
 
 from shelfcast.operators import calendar, holidays, lags, mart, prices, sales, weather
