@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 PARAGRAPH = " ".join(f"alpha{i} beta{i % 7} gamma{i % 11}" for i in range(30))
 #: Names that operators use inside.
