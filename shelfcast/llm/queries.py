@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
-    ann, bpe, embedding_dups, hard_negatives, line_dedup, lm_scoring, ngram_join, packing, pii, token_counts, toxicity,
+    ann, bpe, decontaminate, embedding_dups, hard_negatives, line_dedup, lm_scoring, ngram_join, packing, pii, token_counts, toxicity,
+    whitening,
 )
 from shelfcast.llm.common import table
 
@@ -74,6 +75,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows.withColumn("label", moved), rows["vec_id"] % 50 == 0)
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -133,7 +142,36 @@ FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike
 WHERE 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
 QUALIFY rank <= 3"""
 
+#: `op13_decontamination`: windows compared as text.
+DECONTAMINATION_SQL = r"""
+WITH texts AS (
+    SELECT 'd' AS kind, row_number() OVER () AS r, doc_id AS id, text FROM documents
+    UNION ALL SELECT 'b', row_number() OVER (), item_id, text FROM benchmark),
+worded AS (
+    SELECT kind, r, id, regexp_extract_all(
+        translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM texts),
+item_windows AS (
+    SELECT DISTINCT id AS item_id, least(len(words), 10) AS length,
+           array_to_string(words[s : s + least(len(words), 10) - 1], ' ') AS content
+    FROM (SELECT *, UNNEST(generate_series(1, greatest(len(words) - 9, 1))) AS s FROM worded WHERE kind = 'b' AND len(words) > 0)),
+doc_windows AS (
+    SELECT r, s, length, array_to_string(words[s : s + length - 1], ' ') AS content
+    FROM (SELECT r, words, length, UNNEST(generate_series(1, len(words) - length + 1)) AS s
+          FROM worded, (SELECT DISTINCT length FROM item_windows) WHERE kind = 'd' AND len(words) >= length)),
+met AS (SELECT r, s, i.length, item_id FROM doc_windows d JOIN item_windows i ON i.length = d.length AND i.content = d.content),
+hits AS (
+    SELECT r, COUNT(DISTINCT place) AS n_hit FROM (SELECT r, UNNEST(generate_series(s, s + length - 1)) AS place FROM met) GROUP BY r),
+listed AS (
+    SELECT r, COUNT(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM met WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT w.id AS doc_id, CAST(len(words) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+       sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM worded w LEFT JOIN hits USING (r) LEFT JOIN listed USING (r) WHERE kind = 'd'"""
+
 
 def statements() -> dict[str, str]:
     """SQL where it expresses a query at the speed of a check; the others are tested against brute force."""
-    return {"op1_line_dedup": LINE_DEDUP_SQL, "op11_hard_negatives": HARD_NEGATIVES_SQL}
+    return {"op1_line_dedup": LINE_DEDUP_SQL, "op11_hard_negatives": HARD_NEGATIVES_SQL,
+            "op13_decontamination": DECONTAMINATION_SQL}
