@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from shelfcast.sources.storage import publish, staged
+from shelfcast.sources.published import PublishedTable, stamped
 
 COLUMNS = (
     "id", "item_id", "store_id", "date", "horizon", "prediction", "model_version", "run_id", "as_of",
 )
+#: The published table; a series has one prediction a day and origin.
+SCHEMA = (
+    "id string, item_id string, store_id string, date date, horizon int, prediction double, model_version string, run_id string, "
+    "created_at timestamp_ntz, as_of date"
+)
+KEYS = ("id", "date", "as_of")
+#: Forecast volume as a share of the facts of the days before.
+VOLUME_RANGE = (0.6, 1.4)
 
 
 class ForecastRejected(RuntimeError):
@@ -52,7 +61,7 @@ def stamp(preds: DataFrame, as_of: date, model_version: str, run_id: str) -> Dat
 
 
 def sanity_checks(
-    preds: DataFrame, recent_sales: DataFrame, horizon: int = 28, volume_range: tuple[float, float] = (0.6, 1.4)
+    preds: DataFrame, recent_sales: DataFrame, horizon: int = 28, volume_range: tuple[float, float] = VOLUME_RANGE
 ) -> DataFrame:
     """(check_name, passed) of the six checks before publishing.
 
@@ -98,19 +107,40 @@ def sanity_checks(
     ])))
 
 
-def publish_checked(preds: DataFrame, recent_sales: DataFrame, path: str, horizon: int = 28) -> None:
+def forecast_table(spark: SparkSession, path: str) -> PublishedTable:
+    return PublishedTable(spark, path, StructType.fromDDL(SCHEMA), KEYS)
+
+
+def publish(preds: DataFrame, path: str, audit=None, at: Column | None = None) -> int:
+    """Replace the forecasts of the origins in `preds`, each as a whole, and keep the others; see `PublishedTable`."""
+    table = forecast_table(preds.sparkSession, path)
+    rows = stamped(preds.select(*COLUMNS), "created_at", at)
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
+    return table.publish(typed, audit, whole_partitions=True)
+
+
+def publish_checked(
+    preds: DataFrame, recent_sales: DataFrame, path: str, horizon: int = 28, at: Column | None = None,
+    volume_range: tuple[float, float] = VOLUME_RANGE,
+) -> int:
     """Publish by origin if all checks pass, otherwise raise and leave the table alone.
 
-    The forecast is written once before: what is published is what was checked.
+    The checks read the rows as they were written: what is published is what was checked.
     """
-    preds = staged(preds.select(*COLUMNS).withColumn("created_at", F.current_timestamp()), "checked_forecast")
-    failed = [r.check_name for r in sanity_checks(preds, recent_sales, horizon).filter("not passed").collect()]
-    if failed:
-        raise ForecastRejected(f"forecast failed: {', '.join(sorted(failed))}")
-    publish(preds, path)
+    def audit(rows: DataFrame) -> None:
+        failed = [r.check_name for r in sanity_checks(rows, recent_sales, horizon, volume_range).filter("not passed").collect()]
+        if failed:
+            raise ForecastRejected(f"forecast failed: {', '.join(sorted(failed))}")
+
+    return publish(preds, path, audit, at)
 
 
 def submission(preds: DataFrame, horizon: int = 28) -> DataFrame:
     """One row per series, columns F1..F28. The pivot values are given, so no extra job looks for them."""
     wide = preds.groupBy("id").pivot("horizon", list(range(1, horizon + 1))).agg(F.min("prediction"))
     return wide.select("id", *[F.col(str(h)).alias(f"F{h}") for h in range(1, horizon + 1)])
+
+
+def write_submission(preds: DataFrame, path: str, horizon: int = 28) -> None:
+    """The submission as CSV with a header, in as many files as there are tasks; ids are in order inside and across them."""
+    submission(preds, horizon).orderBy("id").write.mode("overwrite").option("header", True).csv(path)

@@ -1,46 +1,71 @@
 """Tweedie demand models on the mart: preparation, fitting, prediction, backtest, importance.
 
-A model is a fitted `PipelineModel`: category labels and the order of the features are stored in it, so
-training and prediction cannot disagree. Fitting aggregates on the executors; category labels, coefficients and the
-regression's matrix of inputs (bounded, as categories with many labels are hashed) reach the driver.
+The mart becomes one stored table of keys, label and an array of inputs, the same for every fold, configuration and store: all
+inputs of a row are known a horizon before it. Models differ in the days they are fitted on, the inputs they may use
+and the rows they belong to, and are all fitted together (`tweedie.fit`). The driver holds names, coefficients and dates.
 """
 
 from __future__ import annotations
 
-import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    FeatureHasher, OneHotEncoder, OneHotEncoderModel, SQLTransformer, StringIndexer, VectorAssembler,
-)
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from shelfcast.operators import holidays as holiday_ops
+from shelfcast.operators import tweedie
 from shelfcast.operators import weather as weather_ops
 from shelfcast.operators.folds import assign_folds, checked, fold_table, integrity
 from shelfcast.operators.forecast import post_process
 from shelfcast.operators.lags import HORIZON
 from shelfcast.operators.mart import CATEGORICAL, feature_columns
 from shelfcast.operators.scoring import score
+from shelfcast.operators.target_stats import with_target_means
 
-#: Iterations of the regression, which says so when they are not enough, and trees, which stop early.
-MAX_ITER = {"tweedie": 50, "trees": 200}
-#: Categories with more labels than this are hashed into `HASHED` inputs.
-MAX_LABELS, HASHED = 200, 512
 EXTERNAL = {"weather": set(weather_ops.FEATURES), "holidays": set(holiday_ops.FEATURES)}
+Models = Mapping[tuple[str, str], tweedie.Model]
+Stage = Callable[[DataFrame, str], DataFrame]
 
 
 class EmptyValidationError(RuntimeError):
     """The validation window holds no facts: a model fitted against it could not be judged."""
 
 
-def split_columns(mart: DataFrame, without: Sequence[str] = ()) -> tuple[list[str], list[str]]:
-    """Numeric and categorical features, leaving out the named external sources."""
-    dropped = set().union(*(EXTERNAL[name] for name in without)) if without else set()
-    names = [c for c in feature_columns(mart) if c not in dropped]
+@dataclass(frozen=True)
+class Inputs:
+    """What each position of a row's inputs is: damped numbers, flags of missing ones, means of categories."""
+
+    numeric: tuple[str, ...]
+    flags: tuple[str, ...]
+    categories: tuple[str, ...]
+
+    @property
+    def names(self) -> list[str]:
+        return [*self.numeric, *(f"{c}_missing" for c in self.flags), *(f"{c}_mean" for c in self.categories)]
+
+    def positions(self, without: Sequence[str] = ()) -> tuple[int, ...]:
+        """Positions of the inputs that do not come from the named external sources."""
+        dropped = set().union(*(EXTERNAL[name] for name in without)) if without else set()
+        return tuple(k for k, c in enumerate([*self.numeric, *self.flags, *self.categories]) if c not in dropped)
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Stored rows of id, store_id, date, day, sales, sell_price and x, and what x holds."""
+
+    rows: DataFrame
+    inputs: Inputs
+
+
+def split_columns(mart: DataFrame) -> tuple[list[str], list[str]]:
+    """Numeric and categorical features."""
+    names = feature_columns(mart)
     return [c for c in names if c not in CATEGORICAL], [c for c in names if c in CATEGORICAL]
 
 
@@ -53,23 +78,15 @@ def category_index(train: DataFrame, categorical: Sequence[str]) -> PipelineMode
     return Pipeline(stages=[indexer]).fit(train)
 
 
-def _numeric_sql(numeric: Sequence[str], with_missing: Sequence[str]) -> str:
-    """Finite inputs: missing values become 0 with a flag of their own, large counts are damped by a logarithm."""
-    parts = ["*"]
-    for c in numeric:
-        value = f"coalesce(cast(`{c}` as double), 0.0D)"
-        parts.append(f"signum({value}) * ln(1.0D + abs({value})) as `{c}_in`")
-    parts += [f"cast(`{c}` is null as double) as `{c}_missing`" for c in with_missing]
-    return f"select {', '.join(parts)} from __THIS__"
-
-
-def preparation(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], kind: str) -> Pipeline:
-    """Unfitted stages from mart columns to one vector. Columns constant in the training rows are left out."""
+def inputs_of(mart: DataFrame) -> Inputs:
+    """Columns that vary, a flag for each pattern of missing values, and all categories with two labels or more."""
+    numeric, categorical = split_columns(mart)
+    known = mart.filter(F.col("sales").isNotNull())
     # one small aggregation over (position, value) rows, where an aggregate per column would not compile
     value = F.col("value")
     stats = {
         row.pos: row
-        for row in train.select(
+        for row in known.select(
             F.xxhash64("id", "date").alias("row"),
             F.posexplode(F.array(*[F.col(c).cast("double") for c in numeric])).alias("pos", "value"),
         ).groupBy("pos").agg(
@@ -87,176 +104,158 @@ def preparation(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
         if stats[pos].nulls and (stats[pos].nulls, stats[pos].pattern) not in seen:
             seen.add((stats[pos].nulls, stats[pos].pattern))
             flags.append(c)
-    distinct = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first() if categorical else {}
-    varied = [c for c in categorical if distinct[c] > 1]
-    cats = [c for c in varied if distinct[c] <= MAX_LABELS]
-    hashed = [c for c in varied if distinct[c] > MAX_LABELS]
-    inputs = [f"{c}_in" for c in used] + [f"{c}_missing" for c in flags]
-    stages = [SQLTransformer(statement=_numeric_sql(used, flags))]
-    for c in hashed:
-        # a column of its own size for each label would outgrow the solver: labels share `HASHED` of them
-        stages.append(FeatureHasher(inputCols=[c], outputCol=f"{c}_hash", numFeatures=HASHED))
-    inputs += [f"{c}_hash" for c in hashed]
-    if cats:
-        stages.append(StringIndexer(
-            inputCols=cats, outputCols=[f"{c}_index" for c in cats], handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        ))
-    if kind == "trees":
-        inputs += [f"{c}_index" for c in cats]
-    elif cats:
-        # the label for unseen values comes last and is dropped: it is all zeros
-        stages.append(OneHotEncoder(
-            inputCols=[f"{c}_index" for c in cats], outputCols=[f"{c}_hot" for c in cats], dropLast=True
-        ))
-        inputs += [f"{c}_hot" for c in cats]
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
-
-
-def estimator(kind: str, max_iter: int, variance_power: float = 1.1):
-    """A Tweedie regression with log link, or boosted trees that stop early on the rows marked `is_validation`."""
-    if kind == "trees":
-        return GBTRegressor(
-            featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=5, maxBins=256, seed=42,
-            validationIndicatorCol="is_validation",
-        )
-    return GeneralizedLinearRegression(
-        family="tweedie", variancePower=variance_power, linkPower=0.0, featuresCol="features", labelCol="label",
-        maxIter=max_iter, regParam=0.05, tol=1e-3,
+    labels = {}
+    if categorical:
+        some = known.agg(*[
+            (F.approx_count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(c) for c in categorical
+        ]).first()
+        labels = {c: some[c] or 0 for c in categorical}
+    return Inputs(tuple(used), tuple(flags), tuple(c for c in categorical if labels[c] > 1))
+
+
+def prepare(mart: DataFrame, stage: Stage, horizon: int = HORIZON) -> Prepared:
+    """The mart as model rows. Counts are damped by a logarithm, missing numbers become 0 with a flag; every category
+    becomes one number (`with_target_means`), over rows with a price, whatever its number of labels."""
+    inputs = inputs_of(mart)
+    rows = with_target_means(mart, inputs.categories, F.col("sell_price").isNotNull(), stage, horizon)
+
+    def damped(name: str):
+        value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+        return F.signum(value) * F.log1p(F.abs(value))
+
+    x = F.array(
+        *[damped(c) for c in inputs.numeric], *[F.col(c).isNull().cast("double") for c in inputs.flags],
+        *[F.col(f"{c}_mean") for c in inputs.categories],
+    )
+    kept = rows.select(
+        "id", "store_id", "date", F.unix_date("date").alias("day"), F.col("sales").cast("double").alias("sales"), "sell_price",
+        x.alias("x"),
     )
+    return Prepared(stage(kept, "model_rows"), inputs)
 
 
-def fit(
-    train: DataFrame, validation: DataFrame, stage, without: Sequence[str] = (), kind: str = "tweedie",
-    max_iter: int | None = None,
-) -> PipelineModel:
-    """One model over all stores. An empty validation window is an error.
-
-    The regression leaves out rows without a price: they are zero by rule (`post_process`), and a perfectly
-    separated group has no finite coefficient under a log link. The assembled vectors are staged: every
-    iteration of the fit reads them again, and should not repeat the preparation.
-    """
-    known = F.col("sales").isNotNull()
-    if validation.filter(known).limit(1).count() == 0:
-        raise EmptyValidationError("the validation window has no facts")
-    numeric, categorical = split_columns(train, without)
-    if kind == "tweedie":
-        train = train.filter(F.col("sell_price").isNotNull())
-    rows = train.filter(known).withColumn("is_validation", F.lit(False))
-    prepared = preparation(rows, numeric, categorical, kind).fit(rows)
-    if kind == "trees":
-        rows = rows.unionByName(validation.filter(known).withColumn("is_validation", F.lit(True)))
-    unit = _label_unit(rows) if kind == "tweedie" else 1.0
-    vectors = prepared.transform(rows).select(
-        (F.col("sales") / F.lit(unit)).alias("label"), "features", "is_validation"
-    )
-    limit = max_iter or MAX_ITER[kind]
-    fitted = estimator(kind, limit).fit(stage(vectors, "training_vectors"))
-    if kind == "tweedie" and fitted.summary.numIterations >= limit:
-        warnings.warn(f"the regression has not converged in {limit} iterations", stacklevel=2)
-    rescale = SQLTransformer(statement=f"select *, prediction * {unit!r}D as predicted_sales from __THIS__")
-    return PipelineModel(stages=[*prepared.stages, fitted, rescale])
+def _with_facts(prepared: Prepared, start: date, end: date, by: str | None) -> None:
+    """Raises if the window, or the window of a store that has models of its own, holds no fact."""
+    inside = F.col("date").between(F.lit(start), F.lit(end)) & F.col("sales").isNotNull()
+    if by is None:
+        if prepared.rows.filter(inside).limit(1).count():
+            return
+        raise EmptyValidationError(f"no facts from {start} to {end}")
+    empty = prepared.rows.groupBy(by).agg(F.count_if(inside).alias("n")).filter("n = 0").orderBy(by).limit(10).collect()
+    if empty:
+        raise EmptyValidationError(f"no facts from {start} to {end} of {', '.join(str(r[by]) for r in empty)}")
 
 
-def _label_unit(rows: DataFrame, mean_in_units: float = 0.2) -> float:
-    """Unit that brings mean sales to the size of the value Spark starts zero labels at (0.1).
+def _grouped(rows: DataFrame, by: str | None) -> DataFrame:
+    return rows.withColumn("group", F.col(by).cast("string") if by else F.lit(""))
 
-    Counted in pieces, the start of the iteration is far too low for busy days, and the first step overshoots.
-    """
-    mean = rows.agg(F.avg("sales")).first()[0]
-    return mean / mean_in_units if mean else 1.0
 
+def fit(
+    prepared: Prepared, variants: Sequence[tweedie.Variant], stage: Stage | None = None, by: str | None = None, **options
+) -> Models:
+    """All variants, over all rows or, with `by`, for each of its values, by (group, variant name).
 
-def fit_by_store(
-    train: DataFrame, validation: DataFrame, stores: Sequence[str], stage, **options
-) -> dict[str, PipelineModel]:
-    """One model per store, for as many stores as the caller wants to wait for; each fit is a Spark job."""
-    return {
-        s: fit(train.filter(F.col("store_id") == s), validation.filter(F.col("store_id") == s), stage, **options)
-        for s in stores
-    }
+    Rows without a price are left out: they are zero by rule (`post_process`), and a perfectly separated group has no
+    finite coefficient under a log link. With `by` the rows are stored again, each group's next to each other, so that a
+    task meets few groups; Spark splits large groups and joins small ones by their size.
+    """
+    known = F.col("sales").isNotNull() & F.col("sell_price").isNotNull()
+    rows = _grouped(prepared.rows.filter(known), by).select("group", "day", F.col("sales").alias("y"), "x")
+    if by:
+        rows = stage(rows.hint("rebalance", F.col("group")), "training_rows")
+    return tweedie.fit(rows, variants, len(prepared.inputs.names), **options)
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Post-processed predictions beside the columns of the rows."""
-    scored = model.transform(rows).select(*rows.columns, F.col("predicted_sales").alias("prediction"))
-    return post_process(scored)
+def fit_window(
+    prepared: Prepared, start: date, end: date, validation: tuple[date, date], stage: Stage | None = None,
+    without: Sequence[str] = (), by: str | None = None, **options,
+) -> Models:
+    """One variant, named `model`, fitted from `start` to `end`. An empty validation window is an error."""
+    _with_facts(prepared, *validation, by)
+    variant = tweedie.Variant("model", start, end, prepared.inputs.positions(without))
+    return fit(prepared, [variant], stage, by, **options)
 
 
-def predict_by_store(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
-    """Each store's rows through its own model. The store filter reaches the scan of a partitioned mart."""
-    parts = [predict(model, rows.filter(F.col("store_id") == s)) for s, model in models.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+def predict(
+    prepared: Prepared, models: Models, windows: Mapping[str, tuple[date, date]], by: str | None = None
+) -> DataFrame:
+    """Post-processed predictions of each variant on its window: id, store_id, date, sales, variant, prediction."""
+    first, last = min(a for a, _ in windows.values()), max(b for _, b in windows.values())
+    rows = prepared.rows.filter(F.col("date").between(F.lit(first), F.lit(last)))
+    scored = tweedie.predict(_grouped(rows, by), models, dict(windows))
+    return post_process(scored).select("id", "store_id", "date", "sales", "variant", "prediction")
 
 
 def backtest(
-    mart: DataFrame, folds: Sequence[Row], stage, without: Sequence[str] = (), horizon: int = HORIZON,
-    kind: str = "tweedie", max_iter: int | None = None,
+    prepared: Prepared, folds: Sequence[Row], configs: Mapping[str, Sequence[str]], horizon: int = HORIZON, **options
 ) -> DataFrame:
-    """Refit on every fold; validation predictions of all folds with `fold`, `sales` and `prediction`.
+    """Refit on every fold with every configuration: config, fold, id, date, sales and prediction of validation facts.
 
-    The mart is cut by date, not rebuilt per fold: shifted features do not depend on the origin. The driver
-    loops over the few folds; each fit and prediction is distributed, and the predictions are staged so
-    that later reads do not repeat the fits.
-    """
-    parts = []
-    for fold in checked(fold_table(mart.sparkSession, folds), integrity(horizon)):
-        train = mart.filter(F.col("date").between(F.lit(fold.train_start), F.lit(fold.train_end)))
-        validation = mart.filter(F.col("date").between(F.lit(fold.val_start), F.lit(fold.val_end)))
-        model = fit(train, validation, stage, without, kind, max_iter)
-        scored = predict(model, validation.filter(F.col("sales").isNotNull())).select(
-            "id", "date", "sales", "prediction", F.lit(fold.fold).alias("fold")
-        )
-        parts.append(stage(scored, f"backtest_fold_{fold.fold}"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def backtest_scores(predictions: DataFrame, facts: DataFrame, folds: Sequence[Row]) -> DataFrame:
-    """Metrics per fold over all facts of the validation window."""
-    actual = assign_folds(facts, list(folds), ("validation",)).select("fold", "id", "date", "sales")
-    return score(actual, predictions.select("fold", "id", "date", "prediction"), ("fold", "id", "date"), ("fold",))
-
-
-def feature_importance(models: Sequence[PipelineModel], spark) -> DataFrame:
-    """Mean weight of each input over the models and its share, largest first.
-
-    Trees report their gain; a regression reports the size of its coefficients on the damped inputs. The
-    table has one row per input, read from the fitted models.
+    `configs` name the external sources each configuration goes without. All models of all folds are fitted by the same
+    scans of the same rows, and predict in one.
     """
-    rows = []
-    for number, model in enumerate(models):
-        assembler, fitted = model.stages[-3], model.stages[-2]
-        widths = _input_widths(model)
-        values = fitted.featureImportances if hasattr(fitted, "featureImportances") else fitted.coefficients
-        position = 0
-        for name in assembler.getInputCols():
-            width = widths.get(name, 1)
-            weight = sum(abs(float(values[i])) for i in range(position, position + width))
-            position += width
-            rows.append((number, name.rsplit("_", 1)[0], weight))
-    total = sum(weight for _, _, weight in rows) / len(models)
-    return (
-        spark.createDataFrame(rows, "model int, feature string, weight double")
-        .groupBy("model", "feature").agg(F.sum("weight").alias("weight"))
-        .groupBy("feature").agg(F.avg("weight").alias("gain"))
-        .withColumn("gain_share", F.col("gain") / F.lit(total))
-        .orderBy(F.desc("gain"), "feature")
+    cut = checked(fold_table(prepared.rows.sparkSession, folds), integrity(horizon))
+    named = {f"{config}@{f.fold}": (config, f) for config in configs for f in cut}
+    for f in cut:
+        _with_facts(prepared, f.val_start, f.val_end, None)
+    variants = [
+        tweedie.Variant(name, f.train_start, f.train_end, prepared.inputs.positions(configs[config]))
+        for name, (config, f) in named.items()
+    ]
+    models = fit(prepared, variants, **options)
+    scored = predict(prepared, models, {name: (f.val_start, f.val_end) for name, (_, f) in named.items()})
+    parts = F.split("variant", "@")
+    return scored.filter(F.col("sales").isNotNull()).select(
+        parts[0].alias("config"), parts[1].cast("int").alias("fold"), "id", "date", "sales", "prediction"
     )
 
 
-def _input_widths(model: PipelineModel) -> dict[str, int]:
-    """Vector lengths of the one-hot and hashed inputs; all others are single numbers."""
-    widths = {
-        name: size - 1
-        for part in model.stages
-        if isinstance(part, OneHotEncoderModel)
-        for name, size in zip(part.getOutputCols(), part.categorySizes)
-    }
-    hashers = [part for part in model.stages if isinstance(part, FeatureHasher)]
-    return widths | {part.getOutputCol(): part.getNumFeatures() for part in hashers}
+def backtest_scores(predictions: DataFrame, facts: DataFrame, folds: Sequence[Row], configs: Sequence[str]) -> DataFrame:
+    """Metrics per configuration and fold over all facts of the validation window."""
+    actual = assign_folds(facts, list(folds), ("validation",)).select(
+        "fold", "id", "date", "sales", F.explode(F.array(*[F.lit(c) for c in configs])).alias("config")
+    )
+    return score(actual, predictions.drop("sales"), ("config", "fold", "id", "date"), ("config", "fold"))
+
+
+def fit_trees(prepared: Prepared, start: date, end: date, validation: tuple[date, date], max_iter: int = 200) -> GBTRegressionModel:
+    """Boosted trees on the same inputs over all stores, which stop early on the validation window."""
+    _with_facts(prepared, *validation, None)
+    known = prepared.rows.filter(F.col("sales").isNotNull())
+    day = F.col("date")
+    held_out = day.between(F.lit(validation[0]), F.lit(validation[1]))
+    rows = known.filter(day.between(F.lit(start), F.lit(end)) | held_out).select(
+        F.col("sales").alias("label"), array_to_vector("x").alias("features"), held_out.alias("is_validation")
+    )
+    trees = GBTRegressor(maxIter=max_iter, maxDepth=5, maxBins=256, seed=42, validationIndicatorCol="is_validation")
+    return trees.fit(rows)
+
+
+def predict_trees(model: GBTRegressionModel, rows: DataFrame) -> DataFrame:
+    """Post-processed predictions of prepared rows: id, store_id, date, sales, prediction."""
+    scored = model.transform(rows.withColumn("features", array_to_vector("x")))
+    return post_process(scored).select("id", "store_id", "date", "sales", "prediction")
+
+
+def _source(inputs: Inputs) -> list[str]:
+    """The mart column of each input."""
+    return [*inputs.numeric, *inputs.flags, *inputs.categories]
+
+
+def feature_importance(models: Models, prepared: Prepared) -> DataFrame:
+    """Mean weight of each feature over the models, its share of all, and in how many models it is used; largest first.
+
+    A weight is the size of the coefficients on standardised inputs. One row per feature and model is read from the models.
+    """
+    sources = _source(prepared.inputs)
+    rows = [
+        (" ".join(key), sources[k], abs(float(b)))
+        for key, m in models.items() for k, b in zip(m.used.tolist(), m.beta[1:], strict=True)
+    ]
+    gain = F.sum("weight") / F.lit(float(len(models)))
+    spark = prepared.rows.sparkSession
+    summed = spark.createDataFrame(rows, "model string, feature string, weight double").groupBy("feature").agg(
+        gain.alias("gain"), F.count_distinct("model").alias("n_models")
+    )
+    total = summed.agg(F.sum("gain")).scalar()
+    return summed.withColumn("gain_share", F.col("gain") / F.nullif(total, F.lit(0.0))).orderBy(F.desc("gain"), "feature")

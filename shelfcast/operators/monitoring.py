@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfcast.functions import metrics as m
 from shelfcast.functions.columns import ratio
 from shelfcast.functions.quantiles import exact_quantiles
+from shelfcast.sources.published import PublishedTable, stamped
 
 # Report levels and their columns.
 REPORT_LEVELS = {
@@ -55,6 +57,25 @@ def actual_accuracy(forecast: DataFrame, actual: DataFrame, series: DataFrame) -
     )
 
 
+#: The published accuracy; one row for each origin, day, level and member of it.
+ACCURACY_SCHEMA = (
+    "date date, horizon int, level string, level_value string, model_version string, mae double, wmape double, rmse double, "
+    "bias double, computed_at timestamp_ntz, as_of date"
+)
+ACCURACY_KEYS = ("as_of", "date", "level", "level_value")
+
+
+def accuracy_table(spark: SparkSession, path: str) -> PublishedTable:
+    return PublishedTable(spark, path, StructType.fromDDL(ACCURACY_SCHEMA), ACCURACY_KEYS)
+
+
+def publish_accuracy(accuracy: DataFrame, path: str, at: Column | None = None) -> int:
+    """Replace the rows of the same origin, day, level and member; days of an origin that are not in `accuracy` stay."""
+    table = accuracy_table(accuracy.sparkSession, path)
+    rows = stamped(accuracy, "computed_at", at)
+    return table.publish(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema]))
+
+
 def accuracy_trend(accuracy: DataFrame, level: str = "total", n_periods: int = 12) -> DataFrame:
     """Mean quality of a level per origin, the last `n_periods` origins."""
     return (

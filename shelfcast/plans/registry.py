@@ -529,25 +529,34 @@ def _publish_folder(r, name: str) -> str:
     return f"{storage.shared_dir(r.spark)}/shelfcast/{uuid.uuid4().hex}/{name}"
 
 
+def _hours_after(day: str, hours: int):
+    """A wall-clock time, in place of the present one, so that a run can be repeated."""
+    return F.col(day).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hours))
+
+
+def _as_text(time: str):
+    return F.date_format(time, "yyyy-MM-dd HH:mm:ss").alias(time)
+
+
 @query
 def publish_forecast_idempotent(r):
     """Two origins are published, the newer one twice; its rows must not double nor the older ones vanish."""
     path = _publish_folder(r, "forecast")
     newest, older = r.origins(2)
     both = staged(r.forecasts([newest, older]), "forecasts")
-    storage.publish(both, path)
-    storage.publish(both.filter(F.col("as_of") == F.lit(newest)), path)
-    return r.spark.read.schema(both.schema).parquet(path).select(*forecast.COLUMNS)
+    forecast.publish(both, path, at=_hours_after("as_of", 30))
+    forecast.publish(both.filter(F.col("as_of") == F.lit(newest)), path, at=_hours_after("as_of", 42))
+    return forecast.forecast_table(r.spark, path).read().select(*forecast.COLUMNS, _as_text("created_at"))
 
 
 @query
 def publish_accuracy_idempotent(r):
-    """The accuracy table, replaced by origin."""
+    """The accuracy of each origin's first fifteen days, then of those from the eighth on: shared days are replaced."""
     path = _publish_folder(r, "accuracy")
     accuracy = staged(_accuracy(r), "accuracy")
-    storage.publish(accuracy, path)
-    storage.publish(accuracy, path)
-    return r.spark.read.schema(accuracy.schema).parquet(path).select(accuracy.columns)
+    monitoring.publish_accuracy(accuracy.filter("horizon <= 15"), path, _hours_after("as_of", 400))
+    monitoring.publish_accuracy(accuracy.filter("horizon >= 8"), path, _hours_after("as_of", 700))
+    return monitoring.accuracy_table(r.spark, path).read().select(*accuracy.columns, _as_text("computed_at"))
 
 
 @query
@@ -800,86 +809,87 @@ def _model_mart(r) -> DataFrame:
     return staged(r.mart("inference"), "mart")
 
 
-def _fit_newest(r, rows: DataFrame):
+def _fit_newest(r, prepared: model.Prepared, by: str | None = None):
+    """Models fitted before the newest fold's gap, and the fold."""
     fold = _folds(r)[0]
-    train = rows.filter(F.col("date").between(F.lit(fold.train_start), F.lit(fold.train_end)))
-    validation = rows.filter(F.col("date").between(F.lit(fold.val_start), F.lit(fold.val_end)))
-    return model.fit(train, validation, staged), validation
+    return model.fit_window(
+        prepared, fold.train_start, fold.train_end, (fold.val_start, fold.val_end), staged, by=by
+    ), fold
+
+
+def _scored_by_store(r, by: str | None) -> DataFrame:
+    prepared = model.prepare(_model_mart(r), staged)
+    fitted, fold = _fit_newest(r, prepared, by)
+    scored = model.predict(prepared, fitted, {"model": (fold.val_start, fold.val_end)}, by)
+    return scored.filter(F.col("sales").isNotNull()).groupBy("store_id").agg(*m.simple_metrics(), F.count(F.lit(1)).alias("n_rows"))
 
 
 @query
 def model_fit_score(r):
     """Fit before the newest fold's gap, score on its validation window."""
-    fitted, validation = _fit_newest(r, _model_mart(r))
-    scored = staged(model.predict(fitted, validation).select("id", "date", "store_id", "sales", "prediction"), "scored")
-    return scored.groupBy("store_id").agg(*m.simple_metrics(), F.count(F.lit(1)).alias("n_rows"))
+    return _scored_by_store(r, None)
+
+
+@query
+def model_by_store(r):
+    """One model a store for all stores, each store's rows predicted by its own."""
+    return _scored_by_store(r, "store_id")
 
 
 @query
 def forecast_publish(r):
     """Fit, predict the horizon, check, publish, read back."""
     rows = _model_mart(r)
-    fitted, _ = _fit_newest(r, rows)
-    future = rows.filter(F.col("date") > F.lit(r.as_of))
-    preds = staged(
-        forecast.stamp(model.predict(fitted, future), r.as_of, "tweedie-1", "run-tweedie").select(*forecast.COLUMNS),
-        "predictions",
-    )
+    prepared = model.prepare(rows, staged)
+    fitted, _ = _fit_newest(r, prepared)
+    first, last = r.as_of + timedelta(days=1), r.as_of + timedelta(days=r.horizon)
+    raw = model.predict(prepared, fitted, {"model": (first, last)}).join(r.series.select("id", "item_id"), "id")
+    preds = staged(forecast.stamp(raw, r.as_of, "tweedie-1", "run-tweedie").select(*forecast.COLUMNS), "predictions")
     path = _publish_folder(r, "forecast")
     recent = tables.load_sales(rows, r.as_of - timedelta(days=r.horizon - 1), r.as_of)
-    forecast.publish_checked(preds, recent, path, r.horizon)
-    return r.spark.read.parquet(path).select(*forecast.COLUMNS)
+    # demand of a few series moves by more than the usual range in four weeks
+    forecast.publish_checked(preds, recent, path, r.horizon, volume_range=(0.4, 2.5))
+    return forecast.forecast_table(r.spark, path).read().select(*forecast.COLUMNS)
 
 
-@query
-def backtest_by_fold(r):
-    """The model beside the weekday mean on the same folds, with the rows it was fitted and judged on."""
-    return _backtest(r)
+#: The external sources that each configuration of the comparison goes without.
+CONFIGS = {"base": ("weather", "holidays"), "with_weather": ("holidays",), "with_holidays": ("weather",), "all": ()}
 
 
-def _backtest(r) -> DataFrame:
+def _backtest(r, configs: dict) -> tuple[DataFrame, DataFrame, list]:
+    """Scores by configuration and fold, the facts and the folds."""
     rows, cut = _model_mart(r), _folds(r)
     known = rows.filter(F.col("sales").isNotNull()).select("id", "date", "sales")
-    scores = model.backtest_scores(model.backtest(rows, cut, staged), known, cut)
+    predictions = model.backtest(model.prepare(rows, staged), cut, configs)
+    return model.backtest_scores(predictions, known, cut, list(configs)), known, cut
+
+
+def _report(r) -> DataFrame:
+    scores, known, cut = _backtest(r, {"all": ()})
     baseline = _baseline_scores(r).filter(F.col("baseline") == "dow_mean")
-    return scoring.backtest_report(scores, baseline, folds.rows_by_period(known, cut))
+    return scoring.backtest_report(scores.drop("config"), baseline, folds.rows_by_period(known, cut))
 
 
 @query
-def model_beats_baseline(r):
-    """The verdict on the fitted model: its mean over the folds against the baseline's."""
-    report = staged(_backtest(r), "report")
-    return scoring.beats_baseline(report, report.select("fold", F.col("baseline_wmape").alias("wmape")))
+def backtest_by_fold(r):
+    """The model beside the weekday mean on the same folds, with the rows it was fitted and judged on."""
+    return _report(r)
 
 
 @query
-def model_by_store(r):
-    """One model a store for all stores, each store's rows predicted by its own."""
-    rows, fold, stores = _model_mart(r), _folds(r)[0], _stores(r)
-    train = rows.filter(F.col("date").between(F.lit(fold.train_start), F.lit(fold.train_end)))
-    validation = rows.filter(F.col("date").between(F.lit(fold.val_start), F.lit(fold.val_end)))
-    scored = staged(model.predict_by_store(model.fit_by_store(train, validation, stores, staged), validation).select(
-        "store_id", "sales", "prediction"), "scored")
-    return scored.groupBy("store_id").agg(*m.simple_metrics(), F.count(F.lit(1)).alias("n_rows"))
+def model_beats_baseline(r):
+    """The verdict on the fitted model: its mean over the folds against the baseline's."""
+    report = staged(_report(r), "report")
+    return scoring.beats_baseline(report, report.select("fold", F.col("baseline_wmape").alias("wmape")))
 
 
 @query
 def feature_importance(r):
-    fitted, _ = _fit_newest(r, _model_mart(r))
-    return model.feature_importance([fitted], r.spark).limit(30)
+    prepared = model.prepare(_model_mart(r), staged)
+    return model.feature_importance(_fit_newest(r, prepared)[0], prepared).limit(30)
 
 
 @query
 def ablation(r):
     """The same folds without external sources, with each, with both."""
-    rows, cut = _model_mart(r), _folds(r)
-    facts = rows.filter(F.col("sales").isNotNull()).select("id", "date", "sales")
-    configs = {
-        "base": ["weather", "holidays"], "with_weather": ["holidays"], "with_holidays": ["weather"], "all": [],
-    }
-    scores = None
-    for name, without in configs.items():
-        part = model.backtest_scores(model.backtest(rows, cut, staged, without), facts, cut)
-        part = part.withColumn("config", F.lit(name))
-        scores = part if scores is None else scores.unionByName(part)
-    return scoring.compare_models(scores, "base")
+    return scoring.compare_models(_backtest(r, CONFIGS)[0], "base")

@@ -1,4 +1,4 @@
-"""Files in and out: typed CSV, Parquet layers, staged tables, keyed publishing, fingerprints."""
+"""Files in and out: typed CSV, Parquet layers, staged tables, fingerprints."""
 
 from __future__ import annotations
 
@@ -87,20 +87,6 @@ def write_layer(df: DataFrame, path: str, partition_by=()) -> None:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def publish(df: DataFrame, path: str, partition_by: str = "as_of") -> None:
-    """Replace exactly the partitions present in `df` and keep the others.
-
-    Publishing the same rows again leaves the table unchanged. The rows of one partition value are
-    spread over the existing tasks; there is no shuffle by a column that holds a single value.
-    """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-
-
 def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns of each table."""
     parts = [

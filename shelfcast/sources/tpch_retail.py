@@ -33,24 +33,21 @@ DEPARTMENT_OF_ITEM = {
     "ECONOMY": "D_C", "PROMO": "D_C",
 }
 CATEGORY_OF_DEPARTMENT = {"D_A": "C_1", "D_B": "C_1", "D_C": "C_2"}
-EVENT_NAMES = {
-    "01-01": "NewYear", "02-14": "ValentinesDay", "05-31": "MemorialDay", "07-04": "IndependenceDay",
-    "09-07": "LaborDay", "11-26": "Thanksgiving", "12-25": "Christmas",
-}
-EVENT_TYPES = {
-    "01-01": "National", "02-14": "Cultural", "05-31": "National", "07-04": "National",
-    "09-07": "National", "11-26": "National", "12-25": "National",
+# Trade events of the mapping, two of a kind, one on a day that is also a holiday.
+EVENTS = {
+    "02-19": ("StockTaking", "Trade"), "03-31": ("FoundersFair", "Market"), "05-08": ("GardenWeek", "Season"),
+    "08-23": ("SchoolStart", "Trade"), "10-14": ("HarvestFair", "Market"), "12-06": ("GiftWeek", "Season"),
 }
+EVENT_NAMES = {day: name for day, (name, _) in EVENTS.items()}
+EVENT_TYPES = {day: kind for day, (_, kind) in EVENTS.items()}
 FIRST_WEEK = 11101
 STATES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 COUNTRY = "XX"
 
 
 def benefit_day(state: str, day_of_month: Column) -> Column:
-    """Pay-out days, a different pattern by state."""
-    if state in ("AFRICA", "AMERICA"):
-        return day_of_month <= 10
-    return (day_of_month <= 15) & (day_of_month % 2 == (1 if state == "ASIA" else 0))
+    """Every fifth day of the month pays out, shifted by one from state to state."""
+    return (day_of_month + STATES.index(state)) % 5 == 0
 
 
 class RetailTables:

@@ -8,7 +8,6 @@ from panel_rows import ORIGIN, sales_of
 from pyspark.sql import functions as F
 
 from shelfcast.functions import metrics as m
-from shelfcast.functions.columns import series_window
 from shelfcast.functions.quantiles import exact_quantiles
 from shelfcast.operators import baselines, folds, forecast, model, monitoring, quality, scoring, serving, wrmsse
 from shelfcast.sources import storage
@@ -229,22 +228,6 @@ def test_fingerprint_ignores_order_but_not_content(spark):
     assert first == shuffled != other
 
 
-def test_models_per_store_and_early_stopping(spark, panel):
-    rows = panel.filter("sales is not null").withColumns({
-        "sell_price": F.lit(2.0) + F.col("day") % 5, "snap": (F.col("day") % 2).cast("int"), "event_name_1": F.lit(None).cast("string"),
-    }).withColumn("sales_lag_28", F.lag("sales", 28).over(series_window()))
-    train, valid = rows.filter("day < 350"), rows.filter("day >= 370")
-    models = model.fit_by_store(train, valid, ["S_0", "S_1"], storage.staged, max_iter=4)
-    preds = model.predict_by_store(models, valid)
-    assert preds.count() == valid.count() and preds.filter("prediction < 0 or prediction is null").count() == 0
-    trees = model.fit(train, valid, storage.staged, kind="trees", max_iter=3)
-    assert model.predict(trees, valid).count() == valid.count()
-    importance = model.feature_importance([trees], spark).collect()
-    assert sum(r.gain_share for r in importance) == pytest.approx(1.0)
-    with pytest.raises(model.EmptyValidationError):
-        model.fit(train, valid.limit(0), storage.staged)
-
-
 def test_every_store_has_a_model(spark):
     from __spark_entry__ import queries
 
@@ -261,20 +244,6 @@ def test_unseen_categories_share_the_last_index(spark):
     assert [r.c_index for r in rows] == [0.0, 1.0, 2.0, 2.0]
 
 
-def test_many_items_do_not_outgrow_the_solver(spark):
-    rows = spark.range(5000).select(
-        F.concat(F.lit("i"), "id").alias("id"), F.lit(ORIGIN).alias("date"), F.concat(F.lit("item"), "id").alias("item_id"),
-        (F.col("id") % 3).cast("string").alias("state_id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("a"),
-        F.when(F.col("id") % 2 == 1, F.col("id")).alias("b"), F.when(F.col("id") % 2 == 1, F.lit(1) + F.col("id")).alias("c"),
-    )
-    for kind in ("tweedie", "trees"):
-        prepared = model.preparation(rows, ["a", "b", "c"], ["item_id", "state_id"], kind).fit(rows)
-        names = prepared.stages[-1].getInputCols()
-        # a and b are missing on opposite rows, b and c on the same ones
-        assert [n for n in names if n.endswith("_missing")] == ["a_missing", "b_missing"]
-        assert prepared.transform(rows).first()["features"].size < 1024
-
-
 def test_series_without_a_scale_is_not_a_perfect_forecast(spark):
     def series(item, sales, prediction):
         return [(item, "D", "C", "S", "X", ORIGIN + timedelta(days=k), sales[k], prediction[k]) for k in range(4)]
