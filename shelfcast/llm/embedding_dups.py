@@ -6,9 +6,9 @@ with probability p1; unrelated ones lie sqrt(2) apart and share it with p2. `k`
 of vectors, so that a bucket holds about `STRANGERS` unrelated ones at any size, and the number of tables is what
 finds a pair at the very threshold with probability `RECALL`; closer pairs are found with more.
 
-Equal vectors are one class with a number of copies. Pairs never leave a task: a bucket returns, for each vector, the
-number of its links and its least neighbour in the bucket. A link is counted in the first table that finds it, which
-both sides' buckets tell. Buckets of more than `TILE` vectors are cut into tiles, compared pair by pair in tasks.
+Equal vectors are one class with a number of copies. Pairs never leave a task: it returns, for each linked vector, the
+number of its links and one vector, the same for all that are joined by these links. A link is counted in the first table that
+finds it, which both sides' buckets tell. Buckets of more than `TILE` vectors are cut into tiles, compared pair by pair in tasks.
 
 Defined results: a vector that is null, empty, zero or holds null or non-finite components links with nothing, nor
 do vectors of different lengths. Repeated rows are linked rows. Null ids take part, but no component is named after
@@ -30,7 +30,9 @@ from shelfcast.llm.components import connected_components
 from shelfcast.llm.shingles import mix
 from shelfcast.llm.vectors import classes, matrix
 
-WIDTH, STRANGERS, RECALL, TILE = 1.8, 8, 0.999, 2048
+WIDTH, STRANGERS, RECALL, TILE = 1.8, 32, 0.999, 2048
+#: Buckets up to this size are compared together, and so many pairs at a time.
+SMALL, PAIRS = 24, 1 << 16
 
 
 def same_step(distance: float) -> float:
@@ -83,25 +85,54 @@ def _keys(n: int, similarity: float):
     return run
 
 
-def _bucket(t: Tables, table: int, nodes, unit, copies, sides, similarity: float):
-    """(node, least neighbour, links counted here) of the vectors of one bucket that have links."""
-    linked = unit @ unit.T >= similarity
-    if np.count_nonzero(linked) <= len(unit):
-        # each vector is like itself; most buckets hold strangers only
-        return None
-    np.fill_diagonal(linked, False)
-    if sides is not None:
-        linked &= sides[:, None] != sides[None]
-    some = np.flatnonzero(linked.any(axis=1))
-    if not len(some):
-        return None
-    linked = linked[np.ix_(some, some)]
-    least = np.where(linked, nodes[some][None], np.iinfo(np.int64).max).min(axis=1)
-    keys = t.keys(unit[some])
-    earlier = np.zeros(linked.shape, bool)
-    for other in range(table):
-        earlier |= keys[:, other][:, None] == keys[:, other][None]
-    return nodes[some], least, (linked & ~earlier) @ copies[some]
+def _links(unit: np.ndarray, starts: np.ndarray, ends: np.ndarray, sides: np.ndarray | None, similarity: float):
+    """Places (i, j) of linked vectors that share a bucket; the rows of a bucket follow each other.
+
+    Small buckets are compared all at once, each row with the one that lies 1, 2, ... behind it; a larger bucket is one
+    matrix product. Cosines next to the threshold are summed again in one order, whatever the bucket was.
+    """
+    def exact(i: np.ndarray, j: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+        close = np.flatnonzero(np.abs(cosines - similarity) < 1e-9)
+        cosines[close] = np.einsum("ij,ij->i", unit[i[close]], unit[j[close]])
+        return cosines >= similarity
+
+    def linked(i: np.ndarray, j: np.ndarray, cosines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keep = exact(i, j, cosines)
+        if sides is not None:
+            keep &= sides[i] != sides[j]
+        return i[keep], j[keep]
+
+    sizes = ends - starts
+    small = sizes <= SMALL
+    first = np.concatenate([np.arange(a, b) for a, b in zip(starts[small].tolist(), ends[small].tolist(), strict=True)] or [starts[:0]])
+    last = np.repeat(ends[small], sizes[small])
+    for step in range(1, int(sizes[small].max(initial=0))):
+        inside = first + step < last
+        first, last = first[inside], last[inside]
+        for at in range(0, len(first), PAIRS):
+            i = first[at : at + PAIRS]
+            yield linked(i, i + step, np.einsum("ij,ij->i", unit[i], unit[i + step]))
+    for a, b in zip(starts[~small].tolist(), ends[~small].tolist(), strict=True):
+        cosines = unit[a:b] @ unit[a:b].T
+        i, j = np.nonzero(cosines >= similarity - 1e-9)
+        above = i < j
+        i, j = i[above], j[above]
+        yield linked(a + i, a + j, cosines[i, j])
+
+
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Least place reachable by pairs, of every place below n."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[i], root[j])
+        before = root.copy()
+        np.minimum.at(root, root[i], least)
+        np.minimum.at(root, root[j], least)
+        np.minimum.at(root, i, least)
+        np.minimum.at(root, j, least)
+        root = root[root]
+        if (root == before).all():
+            return root
 
 
 def _compare(n: int, similarity: float):
@@ -111,31 +142,27 @@ def _compare(n: int, similarity: float):
         hashing: dict[int, Tables] = {}
         waiting: list[pa.RecordBatch] = []
 
-        def results(rows: pa.Table) -> Iterator[tuple]:
-            place = np.stack([rows.column(c).to_numpy() for c in ("key", "one", "two", "size")])
+        def results(rows: pa.Table, size: int) -> Iterator[tuple]:
+            """(node, another of its links, links counted here) of the linked vectors among buckets of one length."""
+            t = hashing.setdefault(size, Tables(size, n, similarity))
+            place = np.stack([rows.column(c).to_numpy() for c in ("key", "one", "two")])
             starts = np.flatnonzero(np.concatenate([[True], (place[:, 1:] != place[:, :-1]).any(axis=0)]))
             ends = np.append(starts[1:], rows.num_rows)
-            several = ends - starts > 1
-            names = ("node", "copies", "tile", "table")
-            nodes, copies, tiles, table = (rows.column(c).to_numpy() for c in names)
-            vectors = rows.column("vector").combine_chunks()
-            # one matrix for all buckets; vectors of several lengths are rare and scaled bucket by bucket
-            together = units(matrix(vectors)) if (place[3] == place[3, 0]).all() else None
-            for a, b in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
-                _, one, two, size = place[:, a].tolist()
-                t = hashing.setdefault(size, Tables(size, n, similarity))
-                unit = units(matrix(vectors.slice(a, b - a))) if together is None else together[a:b]
-                found = _bucket(
-                    t, int(table[a]), nodes[a:b], unit, copies[a:b], tiles[a:b] if one != two else None, similarity
-                )
-                if found:
-                    yield found
+            unit = units(matrix(rows.column("vector").combine_chunks()))
+            nodes, copies, tiles, table = (rows.column(c).to_numpy() for c in ("node", "copies", "tile", "table"))
+            for crossing in (False, True):
+                some = (ends - starts > 1) & ((place[1] != place[2])[starts] == crossing)
+                for i, j in _links(unit, starts[some], ends[some], tiles if crossing else None, similarity):
+                    for at in range(0, len(i), PAIRS):
+                        yield _counted(t, nodes, unit, copies, table, i[at : at + PAIRS], j[at : at + PAIRS])
 
         def emit(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            found = list(results(rows))
-            if found:
-                columns = [np.concatenate(x) for x in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "n"])
+            sizes = rows.column("size").to_numpy()
+            for size in np.unique(sizes).tolist():
+                part = rows if (sizes == size).all() else rows.filter(pa.array(sizes == size))
+                for columns in results(part, size):
+                    if len(columns[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "n"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -155,6 +182,17 @@ def _compare(n: int, similarity: float):
     return run
 
 
+def _counted(t: Tables, nodes, unit, copies, table, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The linked vectors of some pairs: node, the root of those it reaches by these pairs, and links not met in an earlier table."""
+    some, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+    a, b = place[: len(i)], place[len(i) :]
+    keys = t.keys(unit[some])
+    earlier = (keys[a] == keys[b]) & (np.arange(t.tables)[None] < table[i][:, None])
+    fresh = ~earlier.any(axis=1)
+    count = np.bincount(a, np.where(fresh, copies[j], 0), len(some)) + np.bincount(b, np.where(fresh, copies[i], 0), len(some))
+    return nodes[some], nodes[some][_roots(len(some), a, b)], count.astype(np.int64)
+
+
 def near_duplicates(
     embeddings: DataFrame, similarity: float, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:

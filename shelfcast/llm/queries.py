@@ -121,6 +121,22 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN k.text END AS text, COALESCE(
 FROM documents d LEFT JOIN kept k USING (doc_id)"""
 
 
+#: `op4_embedding_near_dups`: all pairs, and what is reachable by links.
+NEAR_DUPS_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS one, b.vec_id AS other FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_inner_product(a.x, b.x) >= 0.9 * sqrt(list_inner_product(a.x, a.x)) * sqrt(list_inner_product(b.x, b.x))),
+reached AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION SELECT r.vec_id, l.other FROM reached r JOIN links l ON l.one = r.other),
+components AS (SELECT vec_id, MIN(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT vec_id, (SELECT COUNT(*) FROM links WHERE one = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM components"""
+
 #: `op11_hard_negatives`: every anchor against every row.
 HARD_NEGATIVES_SQL = """
 WITH taken AS (
@@ -173,5 +189,5 @@ FROM worded w LEFT JOIN hits USING (r) LEFT JOIN listed USING (r) WHERE kind = '
 
 def statements() -> dict[str, str]:
     """SQL where it expresses a query at the speed of a check; the others are tested against brute force."""
-    return {"op1_line_dedup": LINE_DEDUP_SQL, "op11_hard_negatives": HARD_NEGATIVES_SQL,
+    return {"op1_line_dedup": LINE_DEDUP_SQL, "op4_embedding_near_dups": NEAR_DUPS_SQL, "op11_hard_negatives": HARD_NEGATIVES_SQL,
             "op13_decontamination": DECONTAMINATION_SQL}

@@ -61,6 +61,51 @@ def test_near_duplicates(spark, monkeypatch):
     assert rows_of(embedding_dups.near_duplicates(spark.createDataFrame([], SCHEMA), 0.9)) == []
 
 
+def test_links_of_a_chain_are_one_component():
+    """In one bucket, each vector tells of one root: a link between two vectors that have smaller neighbours must not be lost."""
+    i, j = np.array([0, 1, 2]), np.array([2, 3, 3])
+    assert embedding_dups._roots(5, i, j).tolist() == [0, 0, 0, 0, 4]
+    r = np.random.default_rng(2)
+    a, b = r.integers(0, 300, 250), r.integers(0, 300, 250)
+    label = np.arange(300)
+    for _ in range(300):
+        for x, y in zip(a, b):
+            label[x] = label[y] = min(label[x], label[y])
+    assert (embedding_dups._roots(300, a, b) == label).all()
+
+
+@pytest.mark.parametrize("small", [0, 5, 1000])
+def test_all_links_of_buckets_are_found(small, monkeypatch):
+    """Offsets and matrix products give the same pairs, with and without tiles."""
+    monkeypatch.setattr(embedding_dups, "SMALL", small)
+    monkeypatch.setattr(embedding_dups, "PAIRS", 7)
+    unit = embedding_dups.units(vectors(3, 200))
+    starts = np.array([0, 1, 4, 30, 31, 100, 190])
+    ends = np.append(starts[1:], 200)
+    sides = np.arange(200) % 2
+    for tiles in (None, sides):
+        found = {(int(x), int(y)) for i, j in embedding_dups._links(unit, starts, ends, tiles, 0.9) for x, y in zip(i, j)}
+        want = {
+            (x, y) for a, b in zip(starts, ends) for x in range(a, b) for y in range(x + 1, b)
+            if unit[x] @ unit[y] >= 0.9 and (tiles is None or sides[x] != sides[y])
+        }
+        assert found == want and found
+
+
+def test_query_with_links_equals_sql(spark, tmp_path):
+    from compare import difference
+
+    from shelfcast.llm.queries import NEAR_DUPS_SQL, op4_embedding_near_dups
+
+    rows = edge_rows(vectors())
+    rows = [r for r in rows if r[0] != 5]  # SQL knows a vector by its id
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "out"))
+    (part,) = (tmp_path / "out").glob("*.parquet")
+    part.rename(tmp_path / "embeddings.parquet")
+    found = difference(op4_embedding_near_dups(spark, str(tmp_path)), NEAR_DUPS_SQL, str(tmp_path))
+    assert found is None, found
+
+
 def test_null_ids_take_part(spark):
     rows = [(None, [1.0, 0.0], 1), (7, [1.0, 0.0], 1), (None, [0.0, 1.0], 1)]
     found = rows_of(embedding_dups.near_duplicates(spark.createDataFrame(rows, SCHEMA), 0.9))
