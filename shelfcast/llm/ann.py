@@ -2,11 +2,18 @@
 
 The trees are fitted on a sample of at most `SAMPLE` distinct vectors, one task a tree: each node halves its vectors
 at the median of a random projection, down to `LEAF` of the sample. Every distinct vector is then put into its leaf
-of every tree. A query walks all trees through one priority queue, ordered by how far it lies from the hyperplanes
-it has crossed, until the leaves seen hold `SHARE` of the sample; near-random vectors, as tested here, need that much
-for a recall of 0.9, as their nearest neighbours are hardly nearer than others. Leaves are grouped into parts of
-subtrees of about `PART` vectors; a task compares a part's leaves with the queries that chose them, and returns each
-query's best of the part. The best of all parts are the result.
+of every tree.
+
+A query puts the leaves of all trees into one queue, in the order of the probability that a neighbour lies there: at each
+node on the way a neighbour at distance r differs from the query by about r / sqrt(d) along the direction, which tells how
+likely it is on either side; r is the k-th distance among the sample vectors in the query's own leaves. Leaves are taken
+until a neighbour would be in none of them, over all trees, with probability `MISS` at most. So a query among clusters
+reads few leaves, and one among near-random vectors, whose neighbours are hardly nearer than others, most of them. The
+probabilities take directions as independent, which they are not quite: recall is measured in the tests.
+
+Leaves are grouped into parts of subtrees of about `PART` vectors, and the queries of a part into blocks of `BLOCK`; a task
+compares a part's leaves with a block of the queries that chose them, first by products of matrices, then the few that can
+be among the best by exact distances. The best of all parts are the result.
 
 Equal vectors are indexed once, with the least ids of each, as many as a result can hold.
 
@@ -19,7 +26,6 @@ Further columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 import math
 import pickle
 from collections.abc import Iterator
@@ -32,7 +38,9 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import Workspace
 from shelfcast.llm.vectors import matrix, usable
 
-SAMPLE, TREES, LEAF, SHARE, PART = 65_536, 24, 32, 0.5, 65_536
+SAMPLE, TREES, LEAF, PART = 16_384, 8, 16, 16_384
+#: Probability to miss a neighbour by the model of the queue; queries of a block; queries whose projections are made at once.
+MISS, BLOCK, AT_ONCE = 1e-4, 8192, 64
 
 
 class Tree:
@@ -82,27 +90,69 @@ class Tree:
         return self.children[node, 1]
 
 
-def search(trees: list[Tree], query: np.ndarray, enough: int, size: int) -> list[list[int]]:
-    """Leaves of each tree, met in the order of one queue, until they hold `enough` different sample rows."""
-    sides = [(t.directions @ query - t.thresholds).tolist() for t in trees]
-    children = [t.children_list for t in trees]
-    queue = [(0.0, t, 0) for t in range(len(trees))]
-    chosen: list[list[int]] = [[] for _ in trees]
-    seen, found = np.zeros(size, bool), 0
-    while queue and (found < enough or queue[0][0] == 0.0):
-        far, t, node = heapq.heappop(queue)
-        left, right = children[t][node]
-        while left >= 0:
-            side = sides[t][node]
-            near, other = (right, left) if side > 0 else (left, right)
-            heapq.heappush(queue, (max(far, abs(side)), t, other))
-            node = near
-            left, right = children[t][node]
-        chosen[t].append(right)
-        rows = trees[t].leaf_rows[right]
-        found += len(rows) - int(np.count_nonzero(seen[rows]))
-        seen[rows] = True
-    return chosen
+class Forest:
+    """All trees as one set of arrays, nodes and leaves numbered through; levels are lists of inner nodes."""
+
+    def __init__(self, trees: list[Tree], points: np.ndarray, k: int):
+        self.trees, self.points, self.k = trees, points, k
+        nodes = np.cumsum([0, *(len(t.children) for t in trees)])
+        self.first_leaf = np.cumsum([0, *(len(t.leaf_rows) for t in trees)])
+        self.directions = np.concatenate([t.directions for t in trees])
+        self.thresholds = np.concatenate([t.thresholds for t in trees])
+        self.size = int(nodes[-1])
+        self.left, self.right = np.full(self.size, -1), np.full(self.size, -1)
+        self.leaf = np.full(self.size, -1)
+        for t, tree in enumerate(trees):
+            left, right = tree.children.T
+            own = slice(nodes[t], nodes[t + 1])
+            inner = left >= 0
+            self.left[own] = np.where(inner, left + nodes[t], -1)
+            self.right[own] = np.where(inner, right + nodes[t], -1)
+            self.leaf[own] = np.where(inner, -1, right + self.first_leaf[t])
+        self.roots = nodes[:-1]
+        self.levels, level = [], self.roots
+        while len(level := level[self.left[level] >= 0]):
+            self.levels.append(level)
+            level = np.concatenate([self.left[level], self.right[level]])
+        self.leaves = np.flatnonzero(self.leaf >= 0)
+        self.leaves = self.leaves[np.argsort(self.leaf[self.leaves])]
+        self.tree_of_leaf = np.repeat(np.arange(len(trees)), np.diff(self.first_leaf))
+        self.rows = [rows for t in trees for rows in t.leaf_rows]
+
+    def sides(self, queries: np.ndarray) -> np.ndarray:
+        """How far each query lies beyond the hyperplane of each node."""
+        return queries @ self.directions.T - self.thresholds
+
+    def search(self, query: np.ndarray, side: np.ndarray) -> np.ndarray:
+        """Leaves in which neighbours of the query may lie, by the shared queue."""
+        home = self.roots
+        while (inner := self.left[home] >= 0).any():
+            home = np.where(inner, np.where(side[home] > 0, self.right[home], self.left[home]), home)
+        near = np.unique(np.concatenate([self.rows[leaf] for leaf in self.leaf[home]]))
+        distance = np.sqrt(((self.points[near] - query) ** 2).sum(axis=1))
+        radius = max(float(np.partition(distance, min(self.k, len(near) - 1))[min(self.k, len(near) - 1)]), 1e-9)
+        # the normal distribution by a logistic curve; steeper for nearer neighbours
+        x = np.clip(side * (1.702 * math.sqrt(len(query)) / radius), -500, 500)
+        onto_right = -np.logaddexp(0, -x)
+        onto_left = onto_right - x
+        likely = np.zeros(self.size)
+        for level in self.levels:
+            likely[self.left[level]] = likely[level] + onto_left[level]
+            likely[self.right[level]] = likely[level] + onto_right[level]
+        likely = likely[self.leaves]
+        queue = np.argsort(-likely, kind="stable")
+        tree, mass = self.tree_of_leaf[queue], np.exp(likely[queue])
+        # what each tree has left of the neighbours after each leaf of the queue
+        by_tree = np.argsort(tree, kind="stable")
+        upto = np.cumsum(mass[by_tree])
+        starts = np.searchsorted(tree[by_tree], np.arange(len(self.trees)))
+        upto -= np.concatenate([[0], upto])[starts][tree[by_tree]]
+        left = np.log(np.maximum(1 - upto, 1e-12))
+        step = left - np.where(np.isin(np.arange(len(left)), starts), 0, np.concatenate([[0], left[:-1]]))
+        missed = np.empty(len(queue))
+        missed[by_tree] = step
+        enough = np.flatnonzero(np.cumsum(missed) <= math.log(MISS))
+        return queue[: enough[0] + 1] if len(enough) else queue
 
 
 def _parts(tree: Tree, n: int, sampled: int) -> np.ndarray:
@@ -111,42 +161,47 @@ def _parts(tree: Tree, n: int, sampled: int) -> np.ndarray:
     return ((np.cumsum(sizes) - sizes) // PART).astype(np.int32)
 
 
-def _index(forest):
+def _index(forest, parts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, parts = forest.value[:2]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points = matrix(batch.column(1))
-            for t, tree in enumerate(trees):
+            points = matrix(batch.column(2))
+            for t, tree in enumerate(forest.value.trees):
                 leaf = tree.leaves(points)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(leaf), t, np.int32)), pa.array(parts[t][leaf]),
+                    [pa.array(np.full(len(leaf), t, np.int32)), pa.array(parts.value[t][leaf]),
                      pa.array(leaf.astype(np.int32)), *batch.columns],
-                    names=["tree", "part", "leaf", "node", "vector"],
+                    names=["tree", "part", "leaf", "node", "first_id", "vector"],
                 )
 
     return run
 
 
-def _queries(forest):
+def _queries(forest, parts):
+    """A row for each part that a query chose leaves of."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, parts, enough, sampled = forest.value
-        for t in trees:
-            t.children_list = t.children.tolist()
+        f = forest.value
+        part_of = np.concatenate(parts.value)
         for batch in batches:
-            ids, points = batch.column(0).to_pylist(), matrix(batch.column(1))
-            for row, query in enumerate(points):
-                rows = []
-                for t, leaves in enumerate(search(trees, query, enough, sampled)):
-                    leaves = np.array(sorted(leaves), np.int32)
-                    of = parts[t][leaves] if len(leaves) else leaves
-                    rows += [(t, int(p), ids[row], leaves[of == p].tolist()) for p in np.unique(of)]
-                columns = list(zip(*rows, strict=True))
-                some = pa.array(np.full(len(rows), row))
+            ids, points = batch.column(0).to_numpy(), matrix(batch.column(1))
+            for start in range(0, batch.num_rows, AT_ONCE):
+                some = points[start : start + AT_ONCE]
+                which, trees, chosen, lists = [], [], [], []
+                for row, (query, side) in enumerate(zip(some, f.sides(some), strict=True), start):
+                    leaves = np.sort(f.search(query, side))
+                    place = f.tree_of_leaf[leaves] * (1 << 32) + part_of[leaves]
+                    cuts = np.flatnonzero(np.diff(place, prepend=-1))
+                    which += [row] * len(cuts)
+                    trees += f.tree_of_leaf[leaves[cuts]].tolist()
+                    chosen += part_of[leaves[cuts]].tolist()
+                    lists += np.split(leaves - f.first_leaf[f.tree_of_leaf[leaves]], cuts[1:])
+                ends = np.cumsum([0, *map(len, lists)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()),
-                     pa.array(columns[3], pa.list_(pa.int32())), batch.column(1).take(some)],
+                    [pa.array(trees, pa.int32()), pa.array(chosen, pa.int32()), pa.array(ids[which]),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists), pa.int32())),
+                     batch.column(1).take(pa.array(which))],
                     names=["tree", "part", "query_id", "leaves", "vector"],
                 )
 
@@ -170,28 +225,36 @@ def _best(k: int):
                          "score": pa.array([], pa.float64())})
         if not points.num_rows or not queries.num_rows:
             return none
-        leaf, node = points.column("leaf").to_numpy(), points.column("node").to_numpy()
-        order = np.lexsort((node, leaf))
-        leaf, node = leaf[order], node[order]
+        order = np.argsort(points.column("leaf").to_numpy(), kind="stable")
+        leaf, node, first = (points.column(c).to_numpy()[order] for c in ("leaf", "node", "first_id"))
         vectors = matrix(points.column("vector").combine_chunks())[order]
+        squares = (vectors * vectors).sum(axis=1)
         wanted = matrix(queries.column("vector").combine_chunks())
         ids = queries.column("query_id").to_numpy()
         lists = queries.column("leaves").combine_chunks()
+        ends = lists.offsets.to_numpy()
+        flat = lists.values.to_numpy()
+        chosen = np.zeros(int(leaf[-1]) + 1, bool)
         found = []
-        for i, q in enumerate(wanted):
-            leaves = lists[i].values.to_numpy()
-            starts, ends = np.searchsorted(leaf, leaves), np.searchsorted(leaf, leaves, side="right")
-            sizes = ends - starts
-            rows = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-            if not len(rows):
-                continue
-            score = distances(q[None], vectors[rows])[0]
-            if len(rows) > k + 1:
-                limit = np.partition(score, k)[k]
-                near = np.flatnonzero(score <= limit)
-                rows, score = rows[near], score[near]
-            best = np.lexsort((node[rows], score))[: k + 1]
-            found.append((np.full(len(best), ids[i]), node[rows[best]], score[best]))
+        for start in range(0, len(wanted), AT_ONCE):
+            block = wanted[start : start + AT_ONCE]
+            # squared distances but for the query's own square; exact ones follow for those that can count
+            rough = squares - 2 * (block @ vectors.T)
+            for i, (q, near) in enumerate(zip(block, rough, strict=True), start):
+                own = flat[ends[i] : ends[i + 1]]
+                own = own[own < len(chosen)]
+                chosen[own] = True
+                rows = np.flatnonzero(chosen[leaf])
+                chosen[own] = False
+                if not len(rows):
+                    continue
+                if len(rows) > k + 1:
+                    near = near[rows]
+                    slack = 1e-9 * (float(q @ q) + float(squares[rows].max()))
+                    rows = rows[near <= np.partition(near, k)[k] + slack]
+                score = distances(q[None], vectors[rows])[0]
+                best = np.lexsort((first[rows], score))[: k + 1]
+                found.append((np.full(len(best), ids[i]), node[rows[best]], score[best]))
         if not found:
             return none
         columns = [np.concatenate(c) for c in zip(*found, strict=True)]
@@ -239,17 +302,25 @@ def nearest(
     trees = [pickle.loads(bytes(r["tree"])) for r in sorted(planted, key=lambda r: r["t"])]
     del planted
     sampled = len(points.value)
-    parts = [_parts(t, n, sampled) for t in trees]
-    forest = spark.sparkContext.broadcast((trees, parts, max(math.ceil(SHARE * sampled), min(sampled, 4 * k)), sampled))
+    parts = spark.sparkContext.broadcast([_parts(t, n, sampled) for t in trees])
+    # of a sample, fewer are as near as the k-th of all
+    among = max(1, math.ceil(k * sampled / n))
+    forest = spark.sparkContext.broadcast(Forest(trees, points.value.astype(np.float64), among))
 
     vector = rows.schema["vector"].dataType.simpleString()
-    indexed = classes.select("node", "vector").mapInArrow(
-        _index(forest), f"tree int, part int, leaf int, node long, vector {vector}"
+    indexed = classes.select("node", "first_id", "vector").mapInArrow(
+        _index(forest, parts), f"tree int, part int, leaf int, node long, first_id long, vector {vector}"
     )
-    asked = rows.where("query").select("id", "vector").mapInArrow(
-        _queries(forest), f"tree int, part int, query_id long, leaves array<int>, vector {vector}"
+    asked = work.keep(rows.where("query").select("id", "vector"), "queries")
+    asked = asked.mapInArrow(
+        _queries(forest, parts), f"tree int, part int, query_id long, leaves array<int>, vector {vector}"
     )
-    found = indexed.groupBy("tree", "part").cogroup(asked.groupBy("tree", "part")).applyInArrow(
+    # a part that many queries chose meets them in several tasks
+    blocks = max(1, math.ceil(rows.where("query").count() / BLOCK))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    keys = ["tree", "part", "block"]
+    found = indexed.withColumn("block", each).groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(
         _best(k), "query_id long, node long, score double"
     )
     # a query has k + 1 rows of each part at most; a vector found in several trees counts once

@@ -144,6 +144,40 @@ def test_nearest(spark):
     assert set(found) == set(ids[ids % 50 == 0].tolist())
 
 
+def clustered(n=6000, size=64, clusters=120):
+    r = np.random.default_rng(9)
+    x = r.standard_normal((clusters, size))[r.integers(0, clusters, n)] + 0.15 * r.standard_normal((n, size))
+    return (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+
+
+@pytest.mark.parametrize("data", ["sf0.01", "sf0.1", "clustered"])
+def test_recall(spark, data):
+    if data == "clustered":
+        df = spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(clustered())], SCHEMA)
+    else:
+        df = spark.read.parquet(f"/root/testdata/{data}/embeddings.parquet")
+    rows = df.select("vec_id", "embedding").collect()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=np.float64)
+    found = {}
+    for q, _, v, _ in rows_of(ann.nearest(df, F.col("vec_id") % 10 == 0, k=10)):
+        found.setdefault(q, set()).add(v)
+    hits = 0
+    for q in found:
+        d = ((x - x[ids == q][0]) ** 2).sum(axis=1)
+        hits += len(found[q] & set([int(ids[i]) for i in np.lexsort((ids, d)) if ids[i] != q][:10]))
+    assert len(found) == int((ids % 10 == 0).sum()) and hits / (10 * len(found)) >= 0.95
+
+
+def test_queries_among_clusters_read_few_leaves():
+    x = clustered()
+    forest = ann.Forest([ann.Tree(x, 1000 + t) for t in range(ann.TREES)], x.astype(np.float64), 10)
+    read = []
+    for q in x[:60].astype(np.float64):
+        leaves = forest.search(q, forest.sides(q[None])[0])
+        read.append(len(np.unique(np.concatenate([forest.rows[leaf] for leaf in leaves]))) / len(x))
+    assert np.mean(read) < 0.2
+
+
 def test_nearest_with_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1), (2, [0.0, 1.0], 1)], SCHEMA)
     found = rows_of(ann.nearest(df, F.col("vec_id") == 0, k=10))
