@@ -67,3 +67,8 @@ def day_index_to_date(origin: date, day_index: Column) -> Column:
 
 def date_to_day_index(origin: date, day: Column) -> Column:
     return F.datediff(day, F.lit(origin)) + 1
+
+
+def week_of(first_day: date, day: Column, first_week: int) -> Column:
+    """Number of the seven-day week of a day; weeks are counted from the first day."""
+    return F.lit(first_week) + F.floor(F.datediff(day, F.lit(first_day)) / 7).cast("int")

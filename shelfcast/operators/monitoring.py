@@ -76,24 +76,19 @@ def publish_accuracy(accuracy: DataFrame, path: str, at: Column | None = None) -
     return table.publish(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema]))
 
 
-def accuracy_trend(accuracy: DataFrame, level: str = "total", n_periods: int = 12) -> DataFrame:
-    """Mean quality of a level per origin, the last `n_periods` origins."""
-    return (
-        accuracy.filter(F.col("level") == level)
-        .groupBy("as_of", "level")
-        .agg(*[F.avg(c).alias(c) for c in ("mae", "wmape", "rmse", "bias")], F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("as_of"))
-        .limit(n_periods)
-    )
-
-
-def period_scores(forecast: DataFrame, actual: DataFrame) -> DataFrame:
-    """Pooled metrics per origin."""
-    return (
-        forecast.join(actual.select("id", "date", "sales"), ["id", "date"])
-        .groupBy("as_of")
-        .agg(*m.simple_metrics(), F.count(F.lit(1)).alias("n_rows"))
-    )
+def accuracy_trend(periods: DataFrame, n_periods: int = 12) -> DataFrame:
+    """Quality per origin, the last `n_periods` origins, from pooled scores: a day counts by what was sold on it."""
+    return periods.orderBy(F.desc("as_of")).limit(n_periods)
+
+
+def period_scores(forecast: DataFrame, actual: DataFrame, by: DataFrame | None = None, level: str = "total") -> DataFrame:
+    """Pooled metrics per origin or, with the series table `by`, per origin and member of a report level."""
+    rows = forecast.join(actual.select("id", "date", "sales"), ["id", "date"])
+    columns = REPORT_LEVELS[level]
+    if columns:
+        rows = rows.join(by.select("id", *(c for c in columns if c not in rows.columns)), "id")
+    label = F.concat_ws("|", *sorted(columns)).alias("level_value")
+    return rows.groupBy("as_of", *([label] if columns else [])).agg(*m.simple_metrics(), F.count(F.lit(1)).alias("n_rows"))
 
 
 def should_retrain(periods: DataFrame, threshold_pct: float = 15.0, n_before: int = 3) -> DataFrame:

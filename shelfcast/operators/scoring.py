@@ -62,21 +62,18 @@ def error_by_series(actual: DataFrame, preds: DataFrame) -> DataFrame:
     )
 
 
-def error_analysis(actual: DataFrame, preds: DataFrame, top_n: int = 50) -> DataFrame:
+def error_analysis(actual: DataFrame, preds: DataFrame, stage, top_n: int = 50) -> DataFrame:
     """The `top_n` series with the largest error, their share of all error and that of the list.
 
-    The total is one row from a second aggregation, brought over as a scalar subquery would be,
-    rather than a window over all series in one task.
+    The errors, a row a series, are stored once; the total is a scalar of them, not a window over all series in one task.
     """
-    errors = error_by_series(actual, preds)
-    total = errors.agg(F.sum("abs_error").alias("total_error")).withColumn("_one", F.lit(1))
-    worst = errors.orderBy(F.desc("abs_error"), "id").limit(top_n).withColumn("_one", F.lit(1))
+    errors = stage(error_by_series(actual, preds), "errors")
+    total = errors.agg(F.sum("abs_error")).scalar()
+    worst = errors.orderBy(F.desc("abs_error"), "id").limit(top_n)
     share = F.round(ratio(F.col("abs_error"), F.col("total_error")) * 100, 2)
-    return (
-        worst.join(F.broadcast(total), "_one")
-        .withColumn("error_share_pct", share)
-        .withColumn("top_share_pct", F.sum("error_share_pct").over(Window.partitionBy("_one")))
-        .drop("_one")
+    # fifty rows
+    return worst.withColumn("total_error", total).withColumn("error_share_pct", share).withColumn(
+        "top_share_pct", F.sum("error_share_pct").over(Window.partitionBy())
     )
 
 
@@ -121,16 +118,18 @@ def compare_models(scores: DataFrame, reference: str, metric: str = "wmape") ->
     return summary.withColumn("delta_pct", F.round((ratio(F.col(f"{metric}_mean"), base) - 1) * 100, 2))
 
 
-def metrics_report(actual: DataFrame, preds: DataFrame, total_wrmsse: DataFrame | None = None) -> DataFrame:
-    """All metrics overall and by horizon bucket (1-7, 8-14, 15-21, 22-28, and `other` for the rest)."""
+def metrics_report(matched: DataFrame, total_wrmsse: DataFrame | None = None) -> DataFrame:
+    """All metrics overall and by horizon bucket (1-7, 8-14, 15-21, 22-28, and `other` for the rest).
+
+    `matched` are facts with their forecast; rows without one are left out here.
+    """
     h = F.col("horizon")
     bucket = (
         F.when(h <= 7, "h01_07").when(h <= 14, "h08_14").when(h <= 21, "h15_21").when(h <= 28, "h22_28")
         .otherwise("other")
     )
-    matched = actual.join(preds, ["id", "date"]).withColumn("bucket", bucket)
     report = (
-        matched.rollup("bucket")
+        matched.filter(F.col("prediction").isNotNull()).withColumn("bucket", bucket).rollup("bucket")
         .agg(*m.simple_metrics(), F.count(F.lit(1)).alias("n_rows"))
         .withColumn("bucket", F.coalesce("bucket", F.lit("all")))
     )
@@ -163,10 +162,9 @@ def promotion_gate(scores: DataFrame, metric: str = "wmape", min_improvement: fl
         .otherwise(better),
     ).withColumn(
         "reason",
-        F.when(F.col("candidate_version").isNull(), "no candidate version")
-        .when(F.col("candidate_score").isNull(), "candidate has no score")
-        .when(F.col("production_version").isNull(), "no production version, the candidate becomes the first")
-        .when(F.col("production_score").isNull(), "production has no score, replaced")
-        .when(better, "better than the threshold")
-        .otherwise("not better than the threshold, production stays"),
+        F.when(F.col("candidate_version").isNull(), "there is nothing to promote")
+        .when(F.col("candidate_score").isNull(), F.format_string(f"%s has no {metric}", "candidate_version"))
+        .when(F.col("production_version").isNull(), F.format_string("%s is the first version", "candidate_version"))
+        .when(F.col("production_score").isNull(), F.format_string(f"%s has no {metric} to defend", "production_version"))
+        .otherwise(F.format_string(f"{metric} %.4f against a limit of %.4f", "candidate_score", "threshold")),
     )

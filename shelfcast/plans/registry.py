@@ -17,7 +17,7 @@ from shelfcast.operators import prices as price_ops
 from shelfcast.operators import quality, sales, scoring, serving, weather, wrmsse
 from shelfcast.sources import external, storage, tables
 from shelfcast.sources.storage import staged
-from shelfcast.sources.tpch_retail import CATEGORY_OF_DEPARTMENT, COUNTRY, STATES, RetailTables
+from shelfcast.sources.tpch_retail import CATEGORY_OF_DEPARTMENT, COUNTRY, FIRST_WEEK, STATES, RetailTables
 
 Query = Callable[[RetailTables], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -420,7 +420,7 @@ def horizon_breakdown(r):
 
 @query
 def error_analysis(r):
-    return scoring.error_analysis(r.actuals().select("id", "date", "sales"), _preds(r))
+    return scoring.error_analysis(r.actuals().select("id", "date", "sales"), _preds(r), staged)
 
 
 @query
@@ -430,28 +430,34 @@ def worst_series(r):
     ).limit(50)
 
 
-def _train_with_price(r) -> DataFrame:
-    return sales.with_price_columns(_known(r), r.days, r.prices)
-
-
 def _matched(r) -> DataFrame:
-    return r.actuals().join(_preds(r).select("id", "date", "prediction"), ["id", "date"], "left")
+    """Facts after `as_of` with their forecast, stored: every level and bucket reads them."""
+    preds = _preds(r).select("id", "date", "horizon", "prediction")
+    return staged(r.actuals().join(preds, ["id", "date"], "left"), "actuals_with_forecast")
 
 
-@query
-def rmsse_by_series(r):
-    return wrmsse.wrmsse_by_series(_matched(r), wrmsse.scales(_known(r)), _weights(r)).select(
-        "level", "key", "mse", "scale", "rmsse"
-    )
+def _scales(r) -> DataFrame:
+    return wrmsse.scales(r.known_facts, r.as_of, staged)
 
 
 def _weights(r) -> DataFrame:
-    return wrmsse.weights(_train_with_price(r), r.as_of)
+    week = cal.week_of(r.first_day, F.col("date"), FIRST_WEEK).alias("wm_yr_wk")
+    recent = r.known_facts.filter(F.col("date") > F.date_sub(F.lit(r.as_of), 28)).select(*SERIES, "date", "sales", week)
+    priced = recent.join(r.raw_prices.select(*SERIES, "wm_yr_wk", "sell_price"), [*SERIES, "wm_yr_wk"], "left")
+    return wrmsse.weights(r.series, priced, r.as_of, staged)
+
+
+@query
+def rmsse_by_series(r):
+    return wrmsse.wrmsse_by_series(_matched(r), _scales(r), _weights(r), staged).select("level", "key", "mse", "scale", "rmsse")
 
 
 @query
 def wrmsse_scale(r):
-    return wrmsse.scales(_known(r))
+    """The states of all days but the last four weeks, joined with those of these weeks."""
+    eve = F.date_sub(F.lit(r.as_of), 28)
+    parts = [wrmsse.scale_states(r.known_facts.filter(side), staged) for side in (F.col("date") <= eve, F.col("date") > eve)]
+    return wrmsse.scales_of(wrmsse.join_states(*parts), r.as_of)
 
 
 @query
@@ -461,18 +467,18 @@ def wrmsse_weights(r):
 
 @query
 def wrmsse_by_level(r):
-    return wrmsse.wrmsse_by_level(_matched(r), wrmsse.scales(_known(r)), _weights(r))
+    return wrmsse.wrmsse_by_level(_matched(r), _scales(r), _weights(r), staged)
 
 
 @query
 def wrmsse_total(r):
-    return wrmsse.wrmsse(_matched(r), wrmsse.scales(_known(r)), _weights(r))
+    return wrmsse.wrmsse(_matched(r), _scales(r), _weights(r), staged)
 
 
 @query
 def metrics_report(r):
-    total = wrmsse.wrmsse(_matched(r), wrmsse.scales(_known(r)), _weights(r))
-    return scoring.metrics_report(r.actuals().select("id", "date", "sales"), _preds(r), total)
+    matched = _matched(r)
+    return scoring.metrics_report(matched, wrmsse.wrmsse(matched, _scales(r), _weights(r), staged))
 
 
 @query
@@ -586,7 +592,7 @@ def actual_accuracy(r):
 
 @query
 def accuracy_trend(r):
-    return monitoring.accuracy_trend(_accuracy(r), "total", 4)
+    return monitoring.accuracy_trend(monitoring.period_scores(_history_of_forecasts(r), _facts_of_forecasts(r)), 4)
 
 
 @query

@@ -202,7 +202,7 @@ class RetailTables:
     @cached_property
     def raw_prices(self) -> DataFrame:
         """Average selling price by week, rounded half up in whole cents; no row where nothing was sold."""
-        week = F.lit(FIRST_WEEK) + F.floor(F.datediff("date", F.lit(self.first_day)) / 7).cast("int")
+        week = cal.week_of(self.first_day, F.col("date"), FIRST_WEEK)
         return (
             by_series(self.facts.select(*SERIES, week.alias("wm_yr_wk"), "sales", "cents"), self.partitions)
             .groupBy(*SERIES, "wm_yr_wk")

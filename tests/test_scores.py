@@ -75,12 +75,17 @@ def test_missing_forecasts_count_as_zero_and_duplicates_fail(spark):
 def test_wrmsse_properties(spark, panel):
     as_of = ORIGIN + timedelta(days=371)
     train = panel.filter(F.col("date") <= F.lit(as_of)).withColumn("sell_price", F.lit(2.0) + F.col("day") % 3)
-    scale, weight = wrmsse.scales(train), wrmsse.weights(train, as_of)
+    scale = wrmsse.scales(train, as_of, storage.staged)
+    weight = wrmsse.weights(panel.select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id").distinct(), train, as_of, storage.staged)
+
+    def of(form, prediction):
+        held = panel.filter(F.col("date") > F.lit(as_of)).withColumn("sales", F.col("sales").cast("double"))
+        return form(held.withColumn("prediction", prediction), scale, weight, storage.staged)
+
     assert [r.s for r in weight.groupBy("level").agg(F.sum("weight").alias("s")).collect()] == [pytest.approx(1.0)] * 12
-    held = panel.filter(F.col("date") > F.lit(as_of)).withColumn("sales", F.col("sales").cast("double"))
-    assert wrmsse.wrmsse(held.withColumn("prediction", F.col("sales")), scale, weight).first().wrmsse == 0
-    levels = wrmsse.wrmsse_by_level(held.withColumn("prediction", F.lit(1.0)), scale, weight).collect()
-    total = wrmsse.wrmsse(held.withColumn("prediction", F.lit(1.0)), scale, weight).first().wrmsse
+    assert of(wrmsse.wrmsse, F.col("sales")).first().wrmsse == 0
+    levels = of(wrmsse.wrmsse_by_level, F.lit(1.0)).collect()
+    total = of(wrmsse.wrmsse, F.lit(1.0)).first().wrmsse
     assert len(levels) == 12 and total == pytest.approx(np.mean([r.wrmsse for r in levels]))
     # the late series starts at its own first sale
     series = [sales_of(1, d) for d in range(372)]
@@ -89,7 +94,33 @@ def test_wrmsse_properties(spark, panel):
     found = scale.filter("level = 12 and key = 'I_1|S_0'").first().scale
     assert found == pytest.approx(np.mean(steps.astype(float) ** 2))
     with pytest.raises(Exception, match="no forecast for"):
-        wrmsse.wrmsse(held.withColumn("prediction", F.when(F.col("day") != 380, 1.0)), scale, weight).collect()
+        of(wrmsse.wrmsse, F.when(F.col("day") != 380, 1.0)).collect()
+
+
+@pytest.mark.parametrize("cuts", [(), (0,), (5,), (12, 13), (3, 9, 21, 30), (39,)])
+def test_scale_states_join_at_any_cut(spark, cuts):
+    """Gaps, neighbours, zeros, a single day and quiet ends, cut anywhere, against the dense definition."""
+    values = {
+        "a": {0: 3, 1: 5, 2: 5, 6: 1, 12: 4, 13: 9, 39: 2}, "b": {5: 7}, "c": {9: 2, 10: 0, 11: 4, 30: 1}, "d": {39: 8}, "e": {20: 0},
+    }
+    rows = [(i, "D", "C", "S", "X", ORIGIN + timedelta(days=d), v) for i, own in values.items() for d, v in own.items()]
+    sold = spark.createDataFrame(rows, "item_id string, dept_id string, cat_id string, store_id string, state_id string, date date, sales long")
+    edges = [-1, *cuts, 39]
+    found = None
+    for first, last in zip(edges, edges[1:]):
+        day = F.datediff("date", F.lit(ORIGIN))
+        part = wrmsse.scale_states(sold.filter((day > first) & (day <= last)), storage.staged)
+        found = part if found is None else wrmsse.join_states(found, part)
+    end = ORIGIN + timedelta(days=39)
+    scale = {r.key: r.scale for r in wrmsse.scales_of(found, end).filter("level = 12").collect()}
+    for item, own in values.items():
+        days = np.array([own.get(d, 0) for d in range(40)], float)
+        some = np.flatnonzero(days)
+        if not len(some):
+            assert f"{item}|S" not in scale
+            continue
+        steps = np.diff(days[some[0]:])
+        assert scale[f"{item}|S"] == (pytest.approx(np.mean(steps**2)) if len(steps) else None)
 
 
 def test_roll_up_equals_direct_grouping(panel):
@@ -245,13 +276,15 @@ def test_unseen_categories_share_the_last_index(spark):
 
 
 def test_series_without_a_scale_is_not_a_perfect_forecast(spark):
-    def series(item, sales, prediction):
+    def days(item, sales, prediction):
         return [(item, "D", "C", "S", "X", ORIGIN + timedelta(days=k), sales[k], prediction[k]) for k in range(4)]
 
     schema = "item_id string, dept_id string, cat_id string, store_id string, state_id string, date date, sales long, prediction double"
-    rows = spark.createDataFrame(series("a", [5] * 4, [500.0] * 4) + series("b", [1, 2, 1, 2], [1.0, 2.0, 1.0, 2.0]), schema)
-    train = rows.drop("prediction").withColumn("sell_price", F.lit(1.0))
-    scale, weight = wrmsse.scales(train), wrmsse.weights(train, ORIGIN + timedelta(days=3))
-    level = {x["level"]: x for x in wrmsse.wrmsse_by_level(rows, scale, weight).collect()}[12]
+    rows = spark.createDataFrame(days("a", [5] * 4, [500.0] * 4) + days("b", [1, 2, 1, 2], [1.0, 2.0, 1.0, 2.0]), schema)
+    train, end = rows.drop("prediction").withColumn("sell_price", F.lit(1.0)), ORIGIN + timedelta(days=3)
+    scale = wrmsse.scales(train, end, storage.staged)
+    series = train.select("item_id", "dept_id", "cat_id", "store_id", "state_id").distinct()
+    weight = wrmsse.weights(series, train, end, storage.staged)
+    level = {x["level"]: x for x in wrmsse.wrmsse_by_level(rows, scale, weight, storage.staged).collect()}[12]
     assert (level["n_unscored"], level["wrmsse"]) == (1, 0.0)
     assert level["weight_unscored"] == pytest.approx(20 / 26)
