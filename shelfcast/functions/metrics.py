@@ -43,3 +43,22 @@ def simple_metrics(actual="sales", predicted="prediction") -> list[Column]:
         rmse(actual, predicted).alias("rmse"),
         bias(actual, predicted).alias("bias"),
     ]
+
+
+#: Names of `error_sums`.
+ERROR_SUMS = ("abs_error", "sq_error", "error", "volume", "size", "n")
+
+
+def error_sums(actual="sales", predicted="prediction") -> list[Column]:
+    """Sums from which the simple metrics follow; sums of finer groups add up to those of coarser ones."""
+    y, e = _col(actual), _col(predicted) - _col(actual)
+    sums = (F.sum(F.abs(e)), F.sum(e * e), F.sum(e), F.sum(y), F.sum(F.abs(y)), F.count(e))
+    return [total.alias(name) for total, name in zip(sums, ERROR_SUMS, strict=True)]
+
+
+def metrics_of_sums() -> list[Column]:
+    """The simple metrics of rows that hold error sums."""
+    return [
+        ratio(F.col("abs_error"), F.col("size")).alias("wmape"), ratio(F.col("abs_error"), F.col("n")).alias("mae"),
+        F.sqrt(ratio(F.col("sq_error"), F.col("n"))).alias("rmse"), ratio(F.col("error"), F.col("volume")).alias("bias"),
+    ]

@@ -26,34 +26,35 @@ REPORT_LEVELS = {
 _LEVEL_COLUMNS = ("state_id", "store_id", "cat_id", "dept_id", "item_id")
 
 
-def actual_accuracy(forecast: DataFrame, actual: DataFrame, series: DataFrame) -> DataFrame:
+def actual_accuracy(forecast: DataFrame, actual: DataFrame, series: DataFrame, stage) -> DataFrame:
     """Metrics per origin, day and level for forecast days whose fact is known.
 
-    Every row belongs to all levels; grouping sets compute them in one aggregation that combines map-side.
+    A cascade of error sums: rows are the finest level; they are added up once by store and department, and the coarser levels
+    come from those few sums, so no row is copied for each of its levels. `stage` stores both tables.
     """
+    extra = ("as_of", "date", "horizon", "model_version")
+    attributes = ("state_id", "store_id", "cat_id", "dept_id")
     rows = (
         forecast.select("id", "date", "as_of", "horizon", "prediction", "model_version")
         .join(actual.select("id", "date", "sales"), ["id", "date"])
         .join(series.select("id", *_LEVEL_COLUMNS), "id")
     )
-    extra = ("as_of", "date", "horizon", "model_version")
-    columns = (*_LEVEL_COLUMNS, *extra)
+    finest = stage(rows.groupBy("item_id", *attributes, *extra).agg(*m.error_sums()), "errors_by_series")
+    sums = [F.sum(c).alias(c) for c in m.ERROR_SUMS]
+    by_department = stage(finest.groupBy(*attributes, *extra).agg(*sums), "errors_by_department")
+    columns = (*attributes, *extra)
+    coarse = {name: kept for name, kept in REPORT_LEVELS.items() if "item_id" not in kept}
     level: Column = F.lit(None).cast("string")
-    for name, kept in REPORT_LEVELS.items():
-        grouped_out = sum(
-            1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c in _LEVEL_COLUMNS and c not in kept
-        )
+    for name, kept in coarse.items():
+        grouped_out = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c in attributes and c not in kept)
         level = F.when(F.grouping_id(*columns) == grouped_out, name).otherwise(level)
-    sets = [[F.col(c) for c in (*kept, *extra)] for kept in REPORT_LEVELS.values()]
-    # item before store in the label, as in the level's own definition
-    label = F.when(F.col("level") == "total", "total").otherwise(
-        F.concat_ws("|", "item_id", "state_id", "store_id", "cat_id", "dept_id")
-    )
-    return (
-        rows.groupingSets(sets, *columns)
-        .agg(level.alias("level"), *m.simple_metrics())
-        .select("as_of", "date", "horizon", "level", label.alias("level_value"), "model_version",
-                "mae", "wmape", "rmse", "bias")
+    sets = [[F.col(c) for c in (*kept, *extra)] for kept in coarse.values()]
+    label = F.when(F.col("level") == "total", "total").otherwise(F.concat_ws("|", *attributes))
+    coarser = by_department.groupingSets(sets, *columns).agg(level.alias("level"), *sums).withColumn("level_value", label)
+    named = finest.withColumns({"level": F.lit("item_store"), "level_value": F.concat_ws("|", "item_id", "store_id")})
+    result = ("as_of", "date", "horizon", "level", "level_value", "model_version")
+    return coarser.select(*result, *m.ERROR_SUMS).unionByName(named.select(*result, *m.ERROR_SUMS)).select(
+        *result, *m.metrics_of_sums()
     )
 
 
@@ -162,9 +163,18 @@ def external_freshness(
     )
 
 
-def reference_sample(train: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Random training rows to keep beside a model. `data_drift` itself reads all rows."""
-    return train.sample(fraction=fraction, seed=seed)
+def reference_sample(rows: DataFrame, per_stratum: int, by: str = "store_id", keys=("id", "date"), seed: int = 42) -> DataFrame:
+    """Of each stratum the `per_stratum` rows whose hashed key comes first, to keep beside a model.
+
+    The same rows whatever their order and partitioning; samples of parts of the rows are merged by sampling their union again.
+    Each task passes on as many rows of a stratum only. `data_drift` takes a sample or whole rows as its reference.
+    """
+    place = F.md5(F.concat_ws("|", F.lit(seed).cast("string"), *[F.col(k).cast("string") for k in keys]))
+    order = Window.partitionBy(by).orderBy("_place", *keys)
+    return (
+        rows.withColumn("_place", place).withColumn("_rank", F.row_number().over(order))
+        .filter(F.col("_rank") <= per_stratum).drop("_place", "_rank")
+    )
 
 
 def data_drift(

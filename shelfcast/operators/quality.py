@@ -92,15 +92,10 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def violations_of(report: DataFrame) -> list:
-    """The broken rules, a list no longer than the rule set, for callers that stop on bad data."""
-    return report.filter(F.col("violations") > 0).collect()
-
-
 def rule_sets(
     states: Sequence[str], categories: Sequence[str], weeks=(11101, 11621), years=(2011, 2017), horizon: int = 28
 ) -> dict[str, RuleSet]:
-    """The seven rule sets. Ranges and member sets depend on the data set and are parameters."""
+    """The seven rule sets, fixed values of the published schemas. Ranges and member sets depend on the data set and are parameters."""
     keys = {"id": "string", "date": "date"}
     return {
         "calendar": RuleSet(

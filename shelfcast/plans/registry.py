@@ -148,10 +148,25 @@ def ft_rolling(r):
     return lags.add_rolling(r.panel).select("id", "date", *lags.ROLLING_COLUMNS)
 
 
+def _direct_features(r, min_lag: int) -> DataFrame:
+    """Features for the group of horizons up to `min_lag` days, each with its own nearest lag."""
+    features = lags.add_rolling(lags.add_lags(r.panel, min_lag), min_lag)
+    return features.select("id", "date", *lags.lag_columns(min_lag), *lags.ROLLING_COLUMNS)
+
+
 @query
 def ft_lags_min_lag_7(r):
-    features = lags.add_rolling(lags.add_lags(r.panel, 7), 7)
-    return features.select("id", "date", *lags.lag_columns(7), *lags.ROLLING_COLUMNS)
+    return _direct_features(r, 7)
+
+
+@query
+def ft_lags_min_lag_14(r):
+    return _direct_features(r, 14)
+
+
+@query
+def ft_lags_min_lag_21(r):
+    return _direct_features(r, 21)
 
 
 @query
@@ -245,7 +260,7 @@ def mart_price_extras(r):
 @query
 def load_mart_window(r):
     start = r.as_of - timedelta(days=27)
-    return tables.load_mart(r.mart("train"), start, r.as_of, _first_stores(r, 1))
+    return tables.load_mart(r.stored_mart(), start, r.as_of, _first_stores(r, 1))
 
 
 @query
@@ -266,7 +281,7 @@ def list_stores(r):
 @query
 def feature_matrix(r):
     """Model input: features in the mart's order, categories as indexes frozen before `as_of`."""
-    rows = staged(r.mart("inference"), "mart")
+    rows = r.stored_mart()
     categorical = [c for c in mart.feature_columns(rows) if c in mart.CATEGORICAL]
     known = rows.filter(F.col("sales").isNotNull())
     # a column without any value has nothing to index
@@ -582,7 +597,7 @@ def _facts_of_forecasts(r) -> DataFrame:
 
 
 def _accuracy(r) -> DataFrame:
-    return monitoring.actual_accuracy(_history_of_forecasts(r), _facts_of_forecasts(r), r.series)
+    return monitoring.actual_accuracy(_history_of_forecasts(r), _facts_of_forecasts(r), r.series, staged)
 
 
 @query
@@ -620,12 +635,21 @@ def external_freshness(r):
 
 
 def _drift(r) -> DataFrame:
-    rows = staged(r.mart("train"), "mart")
+    rows = r.stored_mart().filter(F.col("date") <= F.lit(r.as_of))
     numeric, categorical = model.split_columns(rows)
     recent = F.col("date") > F.date_sub(F.lit(r.as_of), r.horizon)
     return monitoring.data_drift(rows.filter(~recent), rows.filter(recent), numeric, categorical)
 
 
+@query
+def reference_sample(r):
+    """A bounded sample of the known rows of each store, from samples of both halves of the history."""
+    known = r.panel.filter(F.col("sales").isNotNull()).select("store_id", "id", "date", "sales")
+    halves = [known.filter(F.year("date") % 2 == parity) for parity in (0, 1)]
+    parts = [monitoring.reference_sample(half, 100) for half in halves]
+    return monitoring.reference_sample(parts[0].unionByName(parts[1]), 100)
+
+
 @query
 def data_drift(r):
     return _drift(r)
@@ -812,7 +836,7 @@ def dataset_fingerprint(r):
 
 
 def _model_mart(r) -> DataFrame:
-    return staged(r.mart("inference"), "mart")
+    return r.stored_mart()
 
 
 def _fit_newest(r, prepared: model.Prepared, by: str | None = None):

@@ -1,4 +1,4 @@
-"""Reads of the panel and the mart by date window and store."""
+"""Reads of the panel and the mart by date window and store, and the mart's stored layout."""
 
 from __future__ import annotations
 
@@ -21,8 +21,25 @@ def load_sales(panel: DataFrame, start: date, end: date) -> DataFrame:
     )
 
 
+def store_mart(mart: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """Store the mart as a table: a folder for each store and year, inside it a file for each bucket of items, in order of days.
+
+    A read by store and date window opens the folders of these stores and years, and inside the files the row groups of these
+    days. Rows of one series share a bucket, so that grouping or joining by series needs no exchange.
+    """
+    # with the writer's own bucket number, each file has one writer
+    bucket = F.pmod(F.hash("item_id"), F.lit(buckets))
+    rows = mart.repartition(F.col("store_id"), F.col("year"), bucket)
+    writer = rows.write.mode("overwrite").option("compression", "zstd").option("path", path)
+    writer.partitionBy("store_id", "year").bucketBy(buckets, "item_id").sortBy("date").saveAsTable(name)
+    return mart.sparkSession.table(name)
+
+
 def load_mart(mart: DataFrame, start: date, end: date, stores: list[str] | None = None) -> DataFrame:
+    """Rows of a date window, optionally of some stores; of a stored mart only their folders are read."""
     window = mart.filter(F.col("date").between(F.lit(start), F.lit(end)))
+    if "year" in mart.columns:
+        window = window.filter(F.col("year").between(start.year, end.year))
     return window.filter(F.col("store_id").isin(*stores)) if stores else window
 
 

@@ -7,6 +7,7 @@ and kept as actuals for scoring.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 from functools import cached_property
@@ -24,7 +25,8 @@ from shelfcast.operators import prices as price_ops
 from shelfcast.operators import sales as sales_ops
 from shelfcast.operators import weather as weather_ops
 from shelfcast.sources.external import WEATHER_MEASURES, parse_holidays
-from shelfcast.sources.storage import staged, staged_all
+from shelfcast.sources.storage import shared_dir, staged, staged_all
+from shelfcast.sources.tables import store_mart
 
 # Fixed values of the test mapping.
 DEPARTMENT_OF_ITEM = {
@@ -43,6 +45,10 @@ EVENT_TYPES = {day: kind for day, (_, kind) in EVENTS.items()}
 FIRST_WEEK = 11101
 STATES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 COUNTRY = "XX"
+#: Buckets of items in each folder of the stored mart; the mapping has six items.
+MART_BUCKETS = 2
+#: Stored marts of this process by session and data.
+_STORED: dict[tuple, tuple[str, list[str]]] = {}
 
 
 def benefit_day(state: str, day_of_month: Column) -> Column:
@@ -409,6 +415,19 @@ class RetailTables:
         )
 
 
+    def stored_mart(self) -> DataFrame:
+        """The mart of training and inference as a stored table, built once in a session: later reads open what they need."""
+        key = (self.spark.sparkContext.applicationId, self.data_dir, self.horizon)
+        if key not in _STORED:
+            name = f"mart_{uuid.uuid4().hex}"
+            mart = self.mart("inference")
+            store_mart(mart, name, f"{shared_dir(self.spark)}/shelfcast/{name}", MART_BUCKETS)
+            _STORED[key] = name, mart.columns
+        name, columns = _STORED[key]
+        # partition columns come last in what Spark reads
+        return self.spark.table(name).select(*columns)
+
+
 def with_hierarchy(df: DataFrame) -> DataFrame:
     """Series label, department and category from item and store."""
     return df.withColumn("dept_id", lookup(F.col("item_id"), DEPARTMENT_OF_ITEM)).select(
