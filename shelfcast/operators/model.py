@@ -186,24 +186,31 @@ def predict(
     return post_process(scored).select("id", "store_id", "date", "sales", "variant", "prediction")
 
 
-def backtest(
+def fit_folds(
     prepared: Prepared, folds: Sequence[Row], configs: Mapping[str, Sequence[str]], horizon: int = HORIZON, **options
-) -> DataFrame:
-    """Refit on every fold with every configuration: config, fold, id, date, sales and prediction of validation facts.
-
-    `configs` name the external sources each configuration goes without. All models of all folds are fitted by the same
-    scans of the same rows, and predict in one.
-    """
+) -> tuple[Models, dict[str, tuple[date, date]]]:
+    """Models of every configuration on every fold, named `config@fold`, and the validation days of each."""
     cut = checked(fold_table(prepared.rows.sparkSession, folds), integrity(horizon))
-    named = {f"{config}@{f.fold}": (config, f) for config in configs for f in cut}
     for f in cut:
         _with_facts(prepared, f.val_start, f.val_end, None)
+    named = {f"{config}@{f.fold}": (config, f) for config in configs for f in cut}
     variants = [
         tweedie.Variant(name, f.train_start, f.train_end, prepared.inputs.positions(configs[config]))
         for name, (config, f) in named.items()
     ]
-    models = fit(prepared, variants, **options)
-    scored = predict(prepared, models, {name: (f.val_start, f.val_end) for name, (_, f) in named.items()})
+    return fit(prepared, variants, **options), {name: (f.val_start, f.val_end) for name, (_, f) in named.items()}
+
+
+def backtest(
+    prepared: Prepared, folds: Sequence[Row], configs: Mapping[str, Sequence[str]], horizon: int = HORIZON, **options
+) -> DataFrame:
+    """Refit on every fold with every configuration: config, fold, id, date, sales and prediction of validation facts.
+
+    `configs` name the external sources each configuration goes without. All models of all folds are fitted by the same
+    scans of the same rows, and predict in one.
+    """
+    models, windows = fit_folds(prepared, folds, configs, horizon, **options)
+    scored = predict(prepared, models, windows)
     parts = F.split("variant", "@")
     return scored.filter(F.col("sales").isNotNull()).select(
         parts[0].alias("config"), parts[1].cast("int").alias("fold"), "id", "date", "sales", "prediction"
@@ -259,3 +266,29 @@ def feature_importance(models: Models, prepared: Prepared) -> DataFrame:
     )
     total = summed.agg(F.sum("gain")).scalar()
     return summed.withColumn("gain_share", F.col("gain") / F.nullif(total, F.lit(0.0))).orderBy(F.desc("gain"), "feature")
+
+
+def permutation_importance(
+    models: Models, prepared: Prepared, windows: Mapping[str, tuple[date, date]], by: str | None = None, seed: int = 42
+) -> DataFrame:
+    """How much WMAPE grows when a feature's values change places between rows, by model: mean, deviation and number of models.
+
+    `windows` are the validation days of each variant. Inputs of one feature (its number and its flag) are added up.
+    """
+    known = F.col("sales").isNotNull() & F.col("sell_price").isNotNull()
+    rows = _grouped(prepared.rows.filter(known), by).select("group", "day", F.col("sales").alias("y"), "x")
+    errors = tweedie.permuted_errors(rows, dict(models), dict(windows), seed)
+    plain = errors.filter("position = -1").select("group", "variant", F.col("abs_error").alias("plain"))
+    names = F.array(*[F.lit(c) for c in _source(prepared.inputs)])
+    growth = F.sum((F.col("abs_error") - F.col("plain")) / F.nullif("volume", F.lit(0.0)))
+    by_model = errors.filter("position >= 0").join(plain, ["group", "variant"]).groupBy(
+        "group", "variant", F.element_at(names, F.col("position") + 1).alias("feature")
+    ).agg(growth.alias("growth"))
+    return by_model.groupBy("feature").agg(
+        F.avg("growth").alias("wmape_growth"), F.stddev_pop("growth").alias("wmape_growth_std"), F.count("growth").alias("n_models")
+    )
+
+
+def write_importance(importance: DataFrame, path: str) -> None:
+    """The table as CSV with a header, the most important feature first."""
+    importance.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

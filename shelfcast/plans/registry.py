@@ -919,6 +919,14 @@ def feature_importance(r):
     return model.feature_importance(_fit_newest(r, prepared)[0], prepared).limit(30)
 
 
+@query
+def permutation_importance(r):
+    """Over the models of all folds, on their validation windows."""
+    prepared = model.prepare(_model_mart(r), staged)
+    models, windows = model.fit_folds(prepared, _folds(r), {"all": ()})
+    return model.permutation_importance(models, prepared, windows)
+
+
 @query
 def ablation(r):
     """The same folds without external sources, with each, with both."""

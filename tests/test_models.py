@@ -197,6 +197,25 @@ def test_trees_and_importance(prepared):
     assert {r["feature"]: r["gain"] for r in found} == pytest.approx(dict(weights))
 
 
+def test_permutation_importance(spark, prepared, tmp_path):
+    cut = folds.rolling_origin(spark, ORIGIN, ORIGIN + timedelta(days=399), n_folds=2, min_train_days=100)
+    models, windows = model.fit_folds(prepared, cut, {"all": (), "base": ("weather", "holidays")})
+    found = {r["feature"]: r for r in model.permutation_importance(models, prepared, windows).collect()}
+    # sources left out of half of the models are scored in the others only
+    assert found["snap"]["n_models"] == 4 and found["temp_anomaly"]["n_models"] == 2
+    assert max(r["wmape_growth"] for r in found.values()) > 0.01
+    rows = prepared.rows.select(F.lit("").alias("group"), "day", F.col("sales").alias("y"), "x")
+    plain = {r["variant"]: r for r in tweedie.permuted_errors(rows, models, windows).filter("position = -1").collect()}
+    for r in model.predict(prepared, models, windows).groupBy("variant").agg(
+            F.sum(F.abs(F.col("prediction") - F.col("sales"))).alias("e"), F.sum("sales").alias("v")).collect():
+        assert (plain[r["variant"]]["abs_error"], plain[r["variant"]]["volume"]) == (pytest.approx(r["e"]), r["v"])
+    again = {r["feature"]: r for r in model.permutation_importance(models, prepared, windows).collect()}
+    assert {k: r["wmape_growth"] for k, r in again.items()} == pytest.approx({k: r["wmape_growth"] for k, r in found.items()})
+    model.write_importance(model.feature_importance(models, prepared), str(tmp_path / "csv"))
+    rows = spark.read.option("header", True).option("inferSchema", True).csv(str(tmp_path / "csv"))
+    assert rows.columns == ["feature", "gain", "n_models", "gain_share"] and rows.count() == len(found)
+
+
 def test_flags_follow_the_pattern_of_missing_values(spark):
     rows = spark.range(500).select(
         F.concat(F.lit("i"), "id").alias("id"), F.lit(ORIGIN).alias("date"), F.lit("S").alias("store_id"), F.lit(1).alias("sales"),
