@@ -46,7 +46,7 @@ def folder(spark, tmp_path_factory):
 
 
 def test_queries_are_registered():
-    names = {f"op{n}" for n in range(1, 11)}
+    names = {f"op{n}" for n in range(1, 14)}
     assert names == {q.split("_")[0] for q in queries.callables()} and set(queries.callables()) <= set(contract.queries())
     assert "pipeline" in contract.queries() and set(queries.statements()) <= set(contract.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dups", "pii", "packing"]
