@@ -72,6 +72,9 @@ def build_mart(
     end = F.lit(last_day(as_of, mode, horizon))
     known = F.when(F.col("date") <= F.lit(as_of), F.col("sales"))
     rows = panel.filter(F.col("date") <= end).withColumn("sales", known)
+    if stores:
+        # group totals are by store, too
+        rows = rows.filter(F.col("store_id").isin(*stores))
     spark = panel.sparkSession
     if weather is None:
         weather = weather_ops.weather_features(empty_weather(spark))
@@ -82,8 +85,6 @@ def build_mart(
         "weather": weather.select("state_id", "date", *weather_ops.FEATURES),
         "holidays": holidays.select("state_id", "date", *holiday_ops.FEATURES),
     })
-    if stores:
-        rows = rows.filter(F.col("store_id").isin(*stores))
     features = lag_ops.add_rolling(lag_ops.add_lags(rows, min_lag), min_lag)
     # a series never sold has no first sale and drops out here
     features = features.filter(F.col("days_since_first_sale") >= 0)

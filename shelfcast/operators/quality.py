@@ -165,24 +165,24 @@ def rule_sets(
     }
 
 
-def invariants(enriched: DataFrame) -> DataFrame:
+def invariants(enriched: DataFrame, stage, key: Sequence[str] = ("id", "date")) -> DataFrame:
     """(check_name, violations) over the whole enriched panel: one pass for rows, one aggregation for keys.
 
-    Distinct days are counted through a grouping, combined map-side, not as sets in one task.
+    Distinct days are counted through a grouping, combined map-side, not as sets in one task; `stage` stores its row a day.
+    A `key` of the columns that the panel is hashed by, in place of the series' label, is counted without a shuffle.
     """
     sales, price = F.col("sales"), F.col("sell_price")
-    by_day = enriched.groupBy("date").agg(
+    by_day = stage(enriched.groupBy("date").agg(
         F.count_if(sales < 0).alias("negative_sales"),
         F.count_if(sales.isNull()).alias("unknown"),
         F.count(sales).alias("known"),
         F.count_if((sales > 0) & price.isNull()).alias("sales_without_price"),
         F.count_if(price <= 0).alias("non_positive_price"),
-    )
+    ), "by_day")
     # one row per day from here on
-    last_fact = by_day.filter(F.col("known") > 0).agg(F.max("date").alias("last_fact")).withColumn("_one", F.lit(1))
+    last_fact = by_day.filter(F.col("known") > 0).agg(F.max("date")).scalar()
     rows = (
-        by_day.withColumn("_one", F.lit(1))
-        .join(F.broadcast(last_fact), "_one")
+        by_day.withColumn("last_fact", last_fact)
         .agg(
             F.sum("negative_sales").alias("negative_sales"),
             F.coalesce(F.sum(F.when(F.col("date") <= F.col("last_fact"), F.col("unknown"))), F.lit(0))
@@ -196,7 +196,7 @@ def invariants(enriched: DataFrame) -> DataFrame:
     checks = rows.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("check_name"), F.col(n).alias("violations")) for n in names
     ])))
-    duplicates = duplicate_keys(enriched, ["id", "date"]).select(
+    duplicates = duplicate_keys(enriched, key).select(
         F.lit("duplicate_id_date").alias("check_name"), "violations"
     )
     return checks.unionByName(duplicates)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -118,3 +119,16 @@ def future_weather(weather: DataFrame, as_of: date, horizon: int = 28, forecast_
             F.when(known, "forecast").otherwise("climatology").alias("source"),
         )
     )
+
+
+def known_at(issues: DataFrame, origins: Sequence[date], values: Sequence[str], keys=("state_id", "date")) -> DataFrame:
+    """What was known of each day at each origin: the values of the latest issue up to the origin, by (as_of, *keys).
+
+    `issues` hold one row for each key and `issue_date`: forecasts made before the day, observations made after it. Every issue is
+    handed to the origins it was known at and the latest is kept map-side, so no issue is compared with another.
+    """
+    known = F.filter(F.array(*[F.lit(o) for o in origins]), lambda o: o >= F.col("issue_date"))
+    latest = F.max_by(F.struct("issue_date", *values), "issue_date").alias("latest")
+    return (
+        issues.withColumn("as_of", F.explode(known)).groupBy("as_of", *keys).agg(latest).select("as_of", *keys, "latest.*")
+    )

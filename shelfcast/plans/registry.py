@@ -201,6 +201,14 @@ def weather_future_fill(r):
     return weather.future_weather(r.weather, r.as_of, r.horizon)
 
 
+@query
+def weather_known_at(r):
+    """The weeks around three origins, as each of them saw them."""
+    values = ("temperature_2m_mean", "precipitation_sum", "source")
+    known = weather.known_at(r.weather_issues(), r.origins(3), values)
+    return known.filter(F.datediff("date", "as_of").between(-6, r.horizon))
+
+
 @query
 def ft_holidays(r):
     return r.holiday_features()
@@ -715,7 +723,7 @@ def dq_invariants(r):
     """On the panel with some sales made negative and one weekday removed."""
     broken = sales.with_price_columns(r.panel, r.days, r.prices).filter(F.col("date") != F.lit(r.as_of))
     return quality.invariants(
-        broken.withColumn("sales", F.when(F.col("sales") == 13, F.lit(-13)).otherwise(F.col("sales")))
+        broken.withColumn("sales", F.when(F.col("sales") == 13, F.lit(-13)).otherwise(F.col("sales"))), staged, (*SERIES, "date")
     )
 
 

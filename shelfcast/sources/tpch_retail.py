@@ -309,6 +309,19 @@ class RetailTables:
             .withColumn("source", source)
         )
 
+    def weather_issues(self) -> DataFrame:
+        """Each day's weather as it was issued: forecasts 1, 5, 9 and 13 days ahead, the further the warmer and the wetter, and
+        the observation two days later."""
+        lead = F.explode(F.array(*[F.lit(k) for k in (13, 9, 5, 1, -2)])).alias("lead")
+        rows = self.weather.select("state_id", "date", "temperature_2m_mean", "precipitation_sum", lead)
+        ahead = F.greatest("lead", F.lit(0))
+        return rows.select(
+            "state_id", "date", F.date_sub("date", F.col("lead")).alias("issue_date"),
+            (F.col("temperature_2m_mean") + ahead * F.lit(0.25)).alias("temperature_2m_mean"),
+            (F.col("precipitation_sum") + ahead * F.lit(0.5)).alias("precipitation_sum"),
+            F.when(F.col("lead") > 0, "forecast").otherwise("archive").alias("source"),
+        )
+
     def event_weather(self) -> DataFrame:
         """Daily weather by event type: archive for days 1-20, forecast 21-26, climatology after."""
         day = F.dayofmonth("date")

@@ -207,3 +207,15 @@ def test_mart_columns_do_not_depend_on_sources_and_modes_agree(spark, panel):
     assert shared.exceptAll(train).count() == 0 and train.exceptAll(shared).count() == 0
     with pytest.raises(ValueError):
         mart.last_day(as_of, "score")
+
+
+def test_weather_as_an_origin_knew_it(spark):
+    day = lambda k: ORIGIN + timedelta(days=k)
+    issues = spark.createDataFrame(
+        [("CA", day(10), day(3), 1.0), ("CA", day(10), day(7), 2.0), ("CA", day(10), day(12), 3.0), ("CA", day(11), day(9), 4.0),
+         ("TX", day(10), None, 9.0)],
+        "state_id string, date date, issue_date date, t double")
+    found = weather.known_at(issues, [day(2), day(7), day(8), day(12)], ["t"])
+    assert {(r["as_of"], r["date"]): (r["issue_date"], r["t"]) for r in found.collect()} == {
+        (day(7), day(10)): (day(7), 2.0), (day(8), day(10)): (day(7), 2.0), (day(12), day(10)): (day(12), 3.0),
+        (day(12), day(11)): (day(9), 4.0)}

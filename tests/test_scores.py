@@ -167,7 +167,7 @@ def test_rules_catch_broken_rows(spark):
 def test_invariants(spark):
     rows = [("a", date(2015, 1, d), s, p) for d, s, p in ((1, 1, 2.0), (2, None, 2.0), (4, -1, 0.0), (5, 3, None), (6, None, 1.0))]
     df = spark.createDataFrame([*rows, rows[0]], "id string, date date, sales long, sell_price double")
-    assert {r.check_name: r.violations for r in quality.invariants(df).collect()} == {
+    assert {r.check_name: r.violations for r in quality.invariants(df, storage.staged).collect()} == {
         "negative_sales": 1, "missing_facts": 1, "calendar_holes": 1, "sales_without_price": 1,
         "non_positive_price": 1, "duplicate_id_date": 1}
 
