@@ -106,11 +106,11 @@ class PublishedTable:
         before = self.manifest(version)
         written = self._write(rows.select(*self.schema.names))
         fresh = self._rows(written)
+        if audit:
+            audit(fresh)
         doubled = fresh.groupBy(*self.keys).count().filter("count > 1").limit(1).collect()
         if doubled:
             raise DuplicateKeys(f"{self.path}: {', '.join(f'{k}={doubled[0][k]}' for k in self.keys)}")
-        if audit:
-            audit(fresh)
         touched = {value: batch for value, batch in before.items() if value in written and not whole_partitions}
         if touched:
             kept = self._rows(touched).join(fresh.select(*self.keys), self.keys, "left_anti")

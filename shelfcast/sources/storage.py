@@ -37,6 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table used more than once to the shared folder and read it back.
 

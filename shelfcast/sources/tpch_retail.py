@@ -25,7 +25,7 @@ from shelfcast.operators import prices as price_ops
 from shelfcast.operators import sales as sales_ops
 from shelfcast.operators import weather as weather_ops
 from shelfcast.sources.external import WEATHER_MEASURES, parse_holidays
-from shelfcast.sources.storage import shared_dir, staged, staged_all
+from shelfcast.sources.storage import exists, shared_dir, staged, staged_all
 from shelfcast.sources.tables import store_mart
 
 # Fixed values of the test mapping.
@@ -48,7 +48,7 @@ COUNTRY = "XX"
 #: Buckets of items in each folder of the stored mart; the mapping has six items.
 MART_BUCKETS = 2
 #: Stored marts of this process by session and data.
-_STORED: dict[tuple, tuple[str, list[str]]] = {}
+_STORED: dict[tuple, tuple[str, str, list[str]]] = {}
 
 
 def benefit_day(state: str, day_of_month: Column) -> Column:
@@ -431,12 +431,12 @@ class RetailTables:
     def stored_mart(self) -> DataFrame:
         """The mart of training and inference as a stored table, built once in a session: later reads open what they need."""
         key = (self.spark.sparkContext.applicationId, self.data_dir, self.horizon)
-        if key not in _STORED:
+        if key not in _STORED or not exists(self.spark, _STORED[key][1]):
             name = f"mart_{uuid.uuid4().hex}"
-            mart = self.mart("inference")
-            store_mart(mart, name, f"{shared_dir(self.spark)}/shelfcast/{name}", MART_BUCKETS)
-            _STORED[key] = name, mart.columns
-        name, columns = _STORED[key]
+            mart, path = self.mart("inference"), f"{shared_dir(self.spark)}/shelfcast/{name}"
+            store_mart(mart, name, path, MART_BUCKETS)
+            _STORED[key] = name, path, mart.columns
+        name, _, columns = _STORED[key]
         # partition columns come last in what Spark reads
         return self.spark.table(name).select(*columns)
 

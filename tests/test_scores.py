@@ -185,13 +185,13 @@ def test_publish_replaces_its_origin_only_and_rejects_bad_forecasts(spark, tmp_p
     forecast.publish_checked(_forecast(spark), recent, path)
     forecast.publish_checked(_forecast(spark, origin=date(2020, 1, 29)), recent, path)
     forecast.publish_checked(_forecast(spark, value=1.2), recent, path)
-    table = spark.read.parquet(path)
+    table = forecast.forecast_table(spark, path).read()
     assert table.count() == 56 and table.filter("prediction = 1.2").count() == 28
     for bad in (_forecast(spark, 27), _forecast(spark, value=-1.0), _forecast(spark, value=9.0),
                 _forecast(spark).union(_forecast(spark))):
         with pytest.raises(forecast.ForecastRejected):
             forecast.publish_checked(bad, recent, path)
-    assert spark.read.parquet(path).count() == 56
+    assert forecast.forecast_table(spark, path).read().count() == 56
 
 
 def test_post_process(spark):
