@@ -227,10 +227,16 @@ class RetailTables:
             price_ops.stage_prices(self.raw_prices), self.series, staged_all
         )
 
+    @cached_property
+    def stored_prices(self) -> DataFrame:
+        """The weekly prices for a join with the panel, hashed as it is. Stored first: otherwise each task of the panel
+        holds the buffers of all sorts and sums that make the prices beside its own."""
+        return by_series(staged(self.prices, "prices"), self.partitions)
+
     @cached_property
     def enriched(self) -> DataFrame:
         return sales_ops.sales_enriched(
-            self.panel, self.days, cal.snap_by_state(self.days), self.prices
+            self.panel, self.days, cal.snap_by_state(self.days), self.stored_prices
         )
 
     def raw_wide(self) -> DataFrame:
@@ -418,7 +424,7 @@ class RetailTables:
         self.partitions  # needs series and bounds, which both threads read
         with ThreadPoolExecutor(max_workers=2) as pool:
             in_thread = inheritable_thread_target(self.spark)
-            days, prices = pool.submit(in_thread(lambda: self.days)), pool.submit(in_thread(lambda: self.prices))
+            days, prices = pool.submit(in_thread(lambda: self.days)), pool.submit(in_thread(lambda: self.stored_prices))
             days, prices = days.result(), prices.result()
         return mart_ops.build_mart(
             self.panel if panel is None else panel, days, cal.snap_by_state(days), prices,

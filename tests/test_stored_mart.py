@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import SERIES
 from shelfcast.sources import tables
+from shelfcast.sources.tpch_retail import RetailTables
 
 
 @pytest.fixture(scope="module")
@@ -51,3 +52,12 @@ def test_series_are_grouped_and_joined_in_place(spark, stored):
     joined = stored.hint("merge").join(totals, list(SERIES))
     assert "Exchange" not in plan(joined)
     assert joined.count() == stored.count()
+
+
+def test_tasks_of_the_mart_do_not_make_the_prices(spark):
+    """The tasks that sort the panel read finished prices: one sort and its windows, beside those of joins with small tables."""
+    mart = RetailTables(spark, "/root/testdata/sf0.001").mart("inference")
+    lines = plan(mart).split("\n")
+    assert len([line for line in lines if "Window [" in line]) == 3  # lags, running sums, sums at the edges of frames
+    assert not [line for line in lines if "Window [" in line and "sell_price" in line]
+    assert any("FileScan" in line and "price_momentum_4w" in line for line in lines)
