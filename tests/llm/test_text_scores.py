@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from llm_rows import rows_of
 from shelfcast.llm import lm_scoring, pii, toxicity
+from shelfcast.llm.common import Workspace
 from shelfcast.llm.queries import fold
 
 DATA = "/root/testdata/sf0.01"
@@ -210,6 +211,42 @@ def test_word_order_counts(spark, monkeypatch):
         assert scores[30] > scores[31] + 5
 
 
+def test_kinds_come_from_all_training_rows(spark):
+    """A kind that a few of thousands of rows hold gets its words."""
+    texts = ["alpha beta " * 10] * 4900 + ["gamma delta " * 10] * 97 + ["omega psi psi " * 10] * 3
+    rows = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "id long, text string, held_out boolean")
+    markers, log_p = lm_scoring._learn_kinds(Workspace(spark), rows)
+    assert markers == ["alpha", "beta", "delta", "gamma", "psi", "omega"]
+    found = np.array([[t.split().count(m) for m in markers] for t in (texts[0], texts[4900], texts[-1])]) @ log_p.T
+    kinds = found.argmax(1)
+    assert len(set(kinds)) == 3
+    p = np.exp(log_p)
+    assert p.sum(1) == pytest.approx(1) and p[kinds[0], 0] > 0.45 and p[kinds[1], 3] > 0.45 and p[kinds[2], 4] > 0.2
+
+
+def test_every_word_teaches_the_mixer(spark, monkeypatch):
+    """Weights of all tasks count by the bits they saw, so each bit of each word is in them once."""
+    monkeypatch.setattr(lm_scoring, "SAMPLE_TOKENS", 100)
+    words = [f"word{i}" for i in range(700)]
+    tables = np.zeros((lm_scoring.ORDERS, 1 << lm_scoring.SLOT_BITS), np.uint16)
+    df = spark.createDataFrame([(w,) for w in words], "word string").repartition(5)
+    mixer = lm_scoring.fit_mixer(df, len(words), spark.sparkContext.broadcast(tables))
+    bits = 8 * sum(len(w) + 1 for w in words)
+    assert [t.sum() for t in mixer.taught] == pytest.approx([bits] * 3)
+    # few words are gone over again
+    few = lm_scoring.fit_mixer(df.limit(10), 10, spark.sparkContext.broadcast(tables))
+    assert few.taught[0].sum() >= 100 * 6 * 8
+
+
+def test_merged_mixers_are_their_mean():
+    one, two = lm_scoring.Mixer(), lm_scoring.Mixer()
+    one.by_place[3], two.by_place[3] = 1.0, 4.0
+    one.taught[1][3], two.taught[1][3] = 2, 1
+    merged = lm_scoring.Mixer.of_state(one.state() + two.state())
+    assert merged.by_place[3] == pytest.approx([2.0] * 6)
+    assert (merged.by_evidence == lm_scoring.Mixer().by_evidence).all() and (merged.refined == one.refined).all()
+
+
 def base_scores(rows, parts):
     tokens = {k: [*(t or "").encode().lower().split(), "end"] for k, (_, t) in enumerate(rows)}
     counts = Counter(x for k, (i, _) in enumerate(rows) if not held_out(i, parts) for x in tokens[k])
