@@ -247,6 +247,93 @@ def test_merged_mixers_are_their_mean():
     assert (merged.by_evidence == lm_scoring.Mixer().by_evidence).all() and (merged.refined == one.refined).all()
 
 
+def test_words_that_begin_alike_score_as_alone():
+    tables = np.random.default_rng(3).integers(0, 1 << 16, (lm_scoring.ORDERS, 1 << lm_scoring.SLOT_BITS)).astype(np.uint16)
+    words = ["the", "then", "there", "them", "the", lm_scoring.END, "é", "other"]
+    alone = [lm_scoring.word_scores([w], tables, lm_scoring.Mixer())[0] for w in words]
+    assert lm_scoring.word_scores(words, tables, lm_scoring.Mixer()) == pytest.approx(alone, rel=1e-12)
+
+
+@pytest.mark.parametrize("often", [[], ["a", lm_scoring.END]])
+def test_scores_by_definition(monkeypatch, often):
+    """Pairs of two stretches, counted and answered in three parts, against the plain formula."""
+    texts = [(1, "a b a c", False), (2, "a b b", False), (3, "c a b z", True), (4, "", False), (5, "z a z", True), (6, "a b", False)]
+    kind_of, parts, log_p = {1: 0, 2: 1, 4: 0, 6: 1}, 3, {}
+    tokens = {i: [*t.split(), lm_scoring.END] for i, t, _ in texts}
+    vocabulary = sorted({w for x in tokens.values() for w in x})
+    by_kind = [Counter(w for i, k in kind_of.items() if k == kind for w in tokens[i]) for kind in range(lm_scoring.KINDS)]
+    total, pairs = sum(by_kind, Counter()), Counter(p for i in kind_of for p in zip([lm_scoring.END, *tokens[i]], tokens[i]))
+    n = np.array([sum(c.values()) for c in by_kind], float)
+    of_kind = np.array([len(c) for c in by_kind] + [len(total)], float)
+    spelled, d = {w: -1.0 - k for k, w in enumerate(vocabulary)}, lm_scoring.DISCOUNT
+    for kind, c in enumerate(by_kind):
+        for w in vocabulary:
+            back = (max(total[w] - d, 0) + d * len(total) * 10 ** spelled[w]) / n.sum()
+            log_p[kind, w] = (max(c[w] - d, 0) + d * len(c) * back) / n[kind] if n[kind] else back
+    after = Counter(a for a, _ in pairs)
+    prior = np.log10(np.full(lm_scoring.KINDS, 1 / lm_scoring.KINDS))
+
+    def plain(words):
+        joint = []
+        for kind in range(lm_scoring.KINDS):
+            p = 1.0
+            for a, b in zip([lm_scoring.END, *words], words):
+                share = max(pairs[a, b] - d, 0) + d * after[a] * log_p[kind, b]
+                p *= share / total[a] if total[a] else log_p[kind, b]
+            joint.append(p / lm_scoring.KINDS)
+        return math.log10(sum(joint))
+
+    def hashes(words):
+        return lm_scoring.word_hash(pa.array(words, pa.string()))
+
+    class Known:
+        value = hashes(often)
+
+    monkeypatch.setattr(lm_scoring, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda s: 7})())}))
+    rows = [pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*some)], names=["id", "text", "held_out"])
+            for some in (texts[:3], texts[3:])]
+    stretches = pa.Table.from_batches(lm_scoring._stretches(iter(rows)))
+    asked = pa.Table.from_batches(lm_scoring._asked_pairs(Known, parts)(iter(stretches.to_batches())))
+    counted = [lm_scoring._counted_pairs(asked.filter(pa.array(np.array(asked["part"]) == p))) for p in set(asked["part"].to_pylist())]
+    counted = pa.concat_tables(counted)
+    followers = Counter()
+    for a, v in zip(counted["a"].to_pylist(), counted["v"].to_pylist()):
+        if a is not None:
+            followers.update(dict(zip(np.frombuffer(a, np.int64).tolist(), lm_scoring._unpacked(v).tolist())))
+    keys = hashes(vocabulary).view(np.int64)
+    assert followers == Counter({k: after[w] for k, w in zip(keys.tolist(), vocabulary) if after[w]})
+    held = pa.table({"b": keys, "spelled": np.array([spelled[w] for w in vocabulary]), "v": [after[w] for w in vocabulary],
+                     **{f"c{k}": [c[w] for w in vocabulary] for k, c in enumerate(by_kind)}})
+    words = pa.Table.from_batches(lm_scoring._asked_words(parts)(iter(stretches.select(["stretch", "words"]).to_batches())))
+    found = [lm_scoring._found_words(words.filter(pa.array(np.array(words["part"]) == p)), held) for p in set(words["part"].to_pylist())]
+    answers = pa.concat_tables([counted.drop_columns(["a", "v"]), *found])
+    score = lm_scoring._row_scores(Known, parts, n, of_kind, prior)
+    scores = {}
+    for k, stretch in enumerate(stretches["stretch"].to_pylist()):
+        own = answers.filter(pa.array([x == stretch for x in answers["stretch"].to_pylist()]))
+        result = score(stretches.slice(k, 1), own)
+        scores.update(zip(result["id"].to_pylist(), result["score"].to_pylist()))
+    assert scores == pytest.approx({i: plain(tokens[i]) for i in tokens}, rel=1e-6)
+
+
+def test_pairs_are_kept_without_scores(spark, monkeypatch):
+    """What lies staged for the pairs of a text stays in proportion to it."""
+    kept = {}
+
+    def keep(self, df, name, plain=Workspace.keep):
+        out = plain(self, df, name)
+        files = spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        kept[name] = files.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(files).getLength()
+        return out
+
+    monkeypatch.setattr(Workspace, "keep", keep)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    assert lm_scoring.score(docs, fold(5, "doc_id")).count() == docs.count()
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    of_pairs = sum(size for name, size in kept.items() if name not in ("markers", "counted", "tables"))
+    assert of_pairs <= 2.5 * n_bytes, kept
+
+
 def base_scores(rows, parts):
     tokens = {k: [*(t or "").encode().lower().split(), "end"] for k, (_, t) in enumerate(rows)}
     counts = Counter(x for k, (i, _) in enumerate(rows) if not held_out(i, parts) for x in tokens[k])
