@@ -8,8 +8,13 @@
    the last; no pair is lost.
    The first cut leaves out shingles that are common in a sample of the rows, such as those of passages that many
    documents share: two similar sets differ in no more of the others, so the argument holds for those alone.
-3. Keys met by one set alone are dropped by a map-side combined aggregate. Each set is paired with the first of its
-   key, not with all others; the components of these pairs are families, and every link lies within a family.
+3. Keys are sorted once. Sets that meet in a key of at most `MEET` sets are paired, and the keys that a pair shares are
+   counted: similar sets agree in all filled blocks but as many as they have differing shingles, others, which met by
+   a phrase that both happen to hold, in one or two. Pairs below that number are no link and go.
+   Keys of more sets are only needed by sets that have too few other ones for the argument. These sets meet once more
+   among themselves; in what is left of the crowded keys each set is paired with the first, not with all others.
+   The components of the pairs are families, and every link lies within a family. So a family does not grow with
+   the chance that two texts of a large corpus share a phrase.
 4. A family's sets go into a count-vector R-tree (see `count_tree`), which bounds overlaps by summed coordinate
    minima; surviving pairs are verified on the sets. Families beyond `TILE` shingles are cut into tiles, and pairs of
    tiles are compared in separate tasks. Pairs already connected are skipped, and no pair leaves a task but the
@@ -28,12 +33,15 @@ from __future__ import annotations
 import bisect
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.llm import line_dedup as bits
 from shelfcast.llm.common import Workspace, slices, texts_of
 from shelfcast.llm.components import connected_components
 from shelfcast.llm.count_tree import links
@@ -50,6 +58,10 @@ BITS = 1 << 25
 COMMON, COMMON_ROWS, SAMPLE_ROWS = 1 << 18, 4, 20_000
 #: Cuts tried until one fills enough blocks.
 SEEDS = 8
+#: Sets of a key that are all paired, and how often the sets meet; a key gives (`MEET` - 1) / 2 pairs a set at most.
+MEET, ROUNDS = 4, 2
+#: The low bits of a key tell its size class, the next one whether it is of a further cut.
+CLASS_BITS = 7
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -91,8 +103,20 @@ class Blocks:
         least = bisect.bisect_right(self.bounds, -(-size * self.percent // 100)) - 1
         return [c for c in range(max(least, 0), own + 1)]
 
+    def most(self, size: int) -> list[int]:
+        """For each class in which a set meets partners: most shingles in which it differs from a similar one.
+
+        The smaller of the two decides the class.
+        """
+        own, *below = reversed(self.classes(size)) if size >= self.bounds[0] else [None]
+        if own is None:
+            return []
+        rest = [(size + self.bounds[c + 1] - 1) * (100 - self.percent) // (100 + self.percent) for c in reversed(below)]
+        return [*rest, self.difference(size)]
+
     def keys(self, hashes: np.ndarray, common: np.ndarray = _NONE) -> np.ndarray:
         """The first cut leaves out the shingles in `common` (sorted), which tell least; further ones take all."""
+        marks = np.uint64((2 << CLASS_BITS) - 1)
         rare = hashes
         if len(common):
             rare = hashes[common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] != hashes]
@@ -108,12 +132,12 @@ class Blocks:
                 content = sums[cuts[filled + 1]] - sums[cuts[filled]]
                 where = np.full(len(filled), c, np.uint64) * _K[1] + filled.astype(np.uint64) * _K[3]
                 where += np.full(len(filled), seed, np.uint64) * _K[2]
-                found.append(mix(content ^ mix(where)))
+                found.append(mix(content ^ mix(where)) & ~marks | np.uint64(c | (seed > 0) << CLASS_BITS))
                 if len(filled) > differ:
                     break
             else:
                 # every shingle a key of its own: whoever shares one is met
-                found.append(mix(hashes ^ mix(np.full(1, c, np.uint64) * _K[2])))
+                found.append(mix(hashes ^ mix(np.full(1, c, np.uint64) * _K[2])) & ~marks | np.uint64(c | 1 << CLASS_BITS))
         return np.concatenate(found) if found else hashes[:0]
 
 
@@ -142,22 +166,108 @@ def _features(width: int, percent: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(percent)
         for batch in slices(batches, limit=SLICE):
-            sizes, ids, keys = [], [], []
+            sizes, ids, keys, low, filled, most = [], [], [], [], [], []
             for h in shingle_sets(texts_of(batch.column(1)), width):
                 sizes.append(len(h))
                 ids.append(_set_id(h))
                 keys.append(blocks.keys(h, common.value))
+                most.append(blocks.most(len(h)))
+                low.append(blocks.classes(len(h))[0] if most[-1] else 0)
+                first = keys[-1] & np.uint64((2 << CLASS_BITS) - 1)
+                filled.append([int((first == low[-1] + k).sum()) for k in range(len(most[-1]))])
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
             flat = np.concatenate(keys).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *batch.columns[2:], pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array(low, pa.int32()), *(pa.array(x, pa.list_(pa.int32())) for x in (filled, most)),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
-                names=["id", *batch.schema.names[2:], "n", "set_id", "keys"],
+                names=["id", *batch.schema.names[2:], "n", "set_id", "low", "filled", "most", "keys"],
             )
 
     return run
 
 
+def _meetings(meet: int):
+    """Of rows (key, node) sorted by key the pairs (a, b) of the sets of keys of 2 to `meet`, and the rows (key, a) of larger ones."""
+
+    def met(keys: np.ndarray, nodes: np.ndarray, crowded) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        lengths = np.diff(np.append(starts, len(keys)))
+        many = lengths > meet
+        if crowded is not None:
+            many |= keys[starts] == crowded
+        pairs = [
+            (nodes[at + i], nodes[at + j])
+            for n in range(2, meet + 1) for at in [starts[(lengths == n) & ~many]] for i, j in combinations(range(n), 2)
+        ]
+        one, two = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        rest = np.repeat(many, lengths)
+        return pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([pa.array(np.minimum(one, two)), pa.array(nodes[rest])]),
+             pa.concat_arrays([pa.array(np.maximum(one, two)), pa.nulls(rest.sum(), pa.int64())]),
+             pa.concat_arrays([pa.nulls(len(one), pa.int64()), pa.array(keys[rest])])],
+            names=["a", "b", "key"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, nodes, crowded = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.concatenate([keys, batch.column(0).to_numpy()])
+            nodes = np.concatenate([nodes, batch.column(1).to_numpy()])
+            # the last key may go on in the next batch; of a crowded one only the key is remembered
+            last = int(np.searchsorted(keys, keys[-1]))
+            if len(keys) - last > meet or keys[-1] == crowded:
+                yield met(keys, nodes, crowded)
+                keys, nodes, crowded = keys[:0], nodes[:0], keys[-1]
+            elif last:
+                yield met(keys[:last], nodes[:last], crowded)
+                keys, nodes = keys[last:], nodes[last:]
+        if len(keys):
+            yield met(keys, nodes, crowded)
+
+    return run
+
+
+def _candidates(work: Workspace, keyed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets whose components hold all links. `keyed` has node, n, low, filled, most and keys."""
+    rows, found = keyed.select(F.explode("keys").alias("key"), "node"), []
+    for k in range(ROUNDS):
+        met = work.keep(
+            rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meetings(MEET), "a long, b long, key long"),
+            f"met-{k}",
+        )
+        crowded = met.where("b is null").select("key", F.col("a").alias("node"))
+        crowded = crowded.withColumn("class", F.col("key").bitwiseAND((1 << CLASS_BITS) - 1).cast("int"))
+        lost = crowded.where(F.col("key").bitwiseAND(1 << CLASS_BITS) == 0).groupBy("node", "class").count()
+        lost = lost.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("class", "count"))).alias("lost"))
+        # filled blocks in keys that are not crowded
+        left = F.transform("filled", lambda f, i: f - F.coalesce(F.try_element_at("lost", F.col("low") + i), F.lit(0)))
+        known = work.keep(
+            keyed.drop("keys").join(lost, "node", "left").select("node", "n", "low", "most", left.alias("left")), f"known-{k}"
+        )
+        one, two = (known.select(*(F.col(c).alias(f"{side}_{c}") for c in known.columns)) for side in "xy")
+        pairs = met.where("b is not null").groupBy("a", "b").count()
+        pairs = pairs.join(one, F.col("a") == F.col("x_node")).join(two, F.col("b") == F.col("y_node"))
+        pairs = pairs.where((100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n")))
+        of = F.least(*(F.col(f"{s}_low") + F.size(f"{s}_left") - 1 for s in "xy"))
+        differ = F.floor((F.col("x_n") + F.col("y_n")) * (100 - percent) / F.lit(100 + percent))
+        needed = F.greatest(*(F.get(f"{s}_left", of - F.col(f"{s}_low")) for s in "xy")) - differ
+        found.append(work.keep(pairs.where(F.col("count") >= needed).select("a", "b"), f"pairs-{k}"))
+        short = known.select("node", "low", F.posexplode(F.arrays_zip("left", "most"))).where("col.left <= col.most")
+        short = short.select("node", (F.col("low") + F.col("pos")).alias("class"))
+        rows = work.keep(crowded.join(short, ["node", "class"]).select("key", "node"), f"crowded-{k}")
+        work.drop(f"met-{k}", f"known-{k}", *([f"crowded-{k - 1}"] if k else []))
+    first = work.keep(
+        rows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").drop("z"), "first"
+    )
+    found.append(rows.join(first, "key").where("a <> node").select("a", F.col("node").alias("b")))
+    pairs = work.keep(reduce(DataFrame.union, found).distinct(), "pairs")
+    work.drop("first", f"crowded-{ROUNDS - 1}", *(f"pairs-{k}" for k in range(ROUNDS)))
+    return pairs
+
+
 def _member_bits(work: Workspace, ids: DataFrame) -> np.ndarray:
     """Bitmap of `BITS` bits with the hash of every id set: rows without their bit are no members."""
     places = ids.select(F.pmod(F.xxhash64("first_id"), F.lit(BITS)).alias("p"))
@@ -246,34 +356,29 @@ def components_of(source: DataFrame, width: int, percent: int, *keep: str) -> Da
     common = spark.sparkContext.broadcast(_common_shingles(source, width))
     features = work.keep(
         source.mapInArrow(
-            _features(width, percent, common), f"id {id_type}{rest}, n long, set_id binary, keys array<long>"
-        ),
+            _features(width, percent, common),
+            f"id {id_type}{rest}, n long, set_id binary, low int, filled array<int>, most array<int>, keys array<long>",
+        ).withColumn("row", F.monotonically_increasing_id()),
         "features",
     )
     classes = work.keep(
-        features.where("n > 0").groupBy("set_id").agg(F.min("id").alias("first_id"), F.first("n").alias("n"))
-        .withColumn("node", F.monotonically_increasing_id()),
+        features.where("n > 0").groupBy("set_id")
+        .agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.min("row").alias("node")),
         "classes",
     )
-    keyed = work.keep(
-        features.where(F.size("keys") > 0).join(classes.select("set_id", "first_id", "node"), "set_id")
-        .where(F.col("id").eqNullSafe(F.col("first_id"))).select("node", "keys"),
-        "keyed",
-    )
     rows = work.keep(
-        features.drop("keys").join(classes.select("set_id", "node"), "set_id", "left").drop("set_id"),
+        features.select("id", *keep, "n", "row", "set_id").join(classes.select("set_id", "node"), "set_id", "left").drop("set_id"),
         "rows",
     )
+    # keys stay where they are, but those of rows that may be copies: one row of a class is wanted
+    copies = rows.where("row <> node").select("row")
+    place = F.pmod(F.xxhash64("row"), F.lit(bits.BITS))
+    word = F.element_at(bits._bitmap(copies, place).scalar(), (F.shiftright(place, 6) + 1).cast("int"))
+    marked = F.getbit(word, (place % 64).cast("int")) == 1
+    sets = features.where(F.size("keys") > 0)
+    keyed = sets.where(~marked).unionByName(sets.where(marked).join(copies, "row", "left_anti"))
+    pairs = _candidates(work, keyed.select(F.col("row").alias("node"), "n", "low", "filled", "most", "keys"), percent)
     work.drop("features")
-
-    keys = keyed.select("node", F.explode("keys").alias("key"))
-    shared = work.keep(
-        keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z").drop("z"), "shared"
-    )
-    pairs = work.keep(
-        keys.join(shared, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "pairs"
-    )
-    work.drop("keyed", "shared")
     families = connected_components(work, pairs, "families")
     members = families.join(classes, "node").select("node", F.col("label").alias("family"), "n", "first_id", "set_id")
     members = work.keep(members, "members")
@@ -305,6 +410,6 @@ def components_of(source: DataFrame, width: int, percent: int, *keep: str) -> Da
                      F.coalesce("least_id", "first_id").alias("component_id")),
         "labels",
     )
-    return rows.join(components, "node", "left").select(
+    return rows.drop("row").join(components, "node", "left").select(
         "id", *keep, F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), "component"
     )

@@ -157,6 +157,40 @@ def test_join_of_large_families_in_tiles(spark, monkeypatch):
     assert sorted(rows_of(ngram_join.jaccard_components(docs, 3, 80))) == sorted(jaccard_groups(rows, 3, 80))
 
 
+@pytest.mark.parametrize("meet", [2, 3])
+def test_join_with_crowded_keys(spark, monkeypatch, meet):
+    """Keys of more sets than are paired: whole clusters, and phrases that many texts hold."""
+    monkeypatch.setattr(ngram_join, "MEET", meet)
+    r = random.Random(6)
+    phrases = [" ".join(f"p{k}x{i}" for i in range(9)) for k in range(6)]
+    rows = varied_rows() + [(500 + i, t + " " + r.choice(phrases)) for i, t in varied_rows()]
+    rows += [(i, t) for i, t in rows[::9]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert Counter(rows_of(ngram_join.jaccard_components(docs, 3, 80))) == Counter(jaccard_groups(rows, 3, 80))
+
+
+def test_families_hold_no_sets_that_meet_by_chance(spark, monkeypatch):
+    """Phrases that some texts happen to share, as ever more do in ever larger tables, don't make a family of them."""
+    kept = {}
+
+    def keep(self, df, name, plain=Workspace.keep):
+        kept[name] = plain(self, df, name)
+        kept[name, "n"] = kept[name].count()
+        return kept[name]
+
+    monkeypatch.setattr(Workspace, "keep", keep)
+    r = random.Random(7)
+    phrases = [" ".join(f"p{k}x{i}" for i in range(3)) for k in range(1500)]
+    # each phrase is in four texts or so, each text holds twenty of them and words of its own
+    rows = [(k, " ".join(p for x in r.sample(phrases, 20) for p in (x, *(f"w{r.random()}" for _ in range(8))))) for k in range(300)]
+    rows += [(1000 + k, " ".join(altered(r, t.split(" "), 1))) for k, t in rows[:10]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ngram_join.jaccard_components(docs, 3, 80)
+    assert sorted(rows_of(found)) == sorted(jaccard_groups(rows, 3, 80))
+    assert sum(i != c for i, _, c in rows_of(found)) == 10
+    assert kept["members", "n"] <= 30
+
+
 def test_join_edges(spark, edge_docs, clashing_docs, no_docs):
     rows = rows_of(edge_docs, "doc_id", "text")
     want = Counter(jaccard_groups(rows, 3, 80))
@@ -184,6 +218,27 @@ def test_similar_sets_share_a_key(percent, n, only_a, only_b, seed):
     assert set(blocks.keys(a).tolist()) & set(blocks.keys(b).tolist())
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(60, 95), st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 2**32))
+def test_similar_sets_share_most_keys(percent, n, only_a, only_b, seed):
+    """In the class of the smaller one they agree in all filled blocks of the first cut but one for each differing shingle."""
+    values = np.unique(np.random.default_rng(seed).integers(0, 2**63, n + only_a + only_b, dtype=np.uint64))
+    np.random.default_rng(seed).shuffle(values)
+    a, b = np.sort(values[: n + only_a]), np.sort(np.concatenate([values[:n], values[n + only_a :]]))
+    blocks, common = ngram_join.Blocks(percent), np.sort(values[::5])
+    differ = len(a) + len(b) - 2 * n
+    if 100 * n < percent * len(values) or min(len(a), len(b)) < blocks.bounds[0]:
+        return
+    assert differ <= (len(a) + len(b)) * (100 - percent) // (100 + percent)
+    c = blocks.classes(min(len(a), len(b)))[-1]
+    keys = []
+    for x in (a, b):
+        found = blocks.keys(x, common)
+        assert differ <= blocks.most(len(x))[c - blocks.classes(len(x))[0]]
+        keys.append(set(found[found & np.uint64((2 << ngram_join.CLASS_BITS) - 1) == np.uint64(c)].tolist()))
+    assert len(keys[0] & keys[1]) >= max(map(len, keys)) - differ
+
+
 def test_tree_finds_all_links():
     r = np.random.default_rng(2)
     base = [r.integers(0, 2**63, 200, dtype=np.uint64) for _ in range(6)]
